@@ -46,17 +46,21 @@ def number_rows(df: DataFrame, order: list[Column], name: str, start: Column | i
     )
 
 
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def neighbour(df: DataFrame, keys: list[str], order: list[str], columns: list[str], step: int,
-              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+              largest: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` (step −1) or ``next_<c>`` (step +1) for each column within ``keys``.
 
     Ordinary keys use a plain window. When some key has more rows than one task
     should sort, its rows are sliced by range and the value at each slice border
-    comes from the adjoining slice.
+    comes from the adjoining slice. ``largest`` is the size of the largest group where
+    the caller knows it (an upper bound will do).
     """
     prefix, fn = ("prev_", F.lag) if step < 0 else ("next_", F.lead)
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= rows_per_task:
+    if (largest_group(df, keys) if largest is None else largest) <= ROWS_PER_TASK:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[fn(c).over(window).alias(prefix + c) for c in columns])
 

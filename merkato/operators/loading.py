@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from merkato import schemas
 from merkato.functions import expressions as X
-from merkato.functions.ordering import neighbour, number_rows
+from merkato.functions.ordering import largest_group, neighbour, number_rows
 from merkato.operators.star import as_of_lookup
+from merkato.session import store
 
 _OPEN = dt.datetime.fromisoformat(schemas.OPEN_END)
 
@@ -28,49 +29,59 @@ def assign_keys(rows: DataFrame, natural_key: list[str], surrogate_key: str,
     return number_rows(rows, [F.col(c) for c in natural_key], surrogate_key, start)
 
 
-def scd0_load(existing: DataFrame, incoming: DataFrame, natural_key: list[str], surrogate_key: str) -> DataFrame:
+def scd0_load(existing: DataFrame | None, incoming: DataFrame, natural_key: list[str],
+              surrogate_key: str) -> DataFrame:
     """Insert keys not seen before; rows already present never change."""
-    unseen = incoming.dropDuplicates(natural_key).join(existing, natural_key, "left_anti")
+    unseen = incoming.dropDuplicates(natural_key)
+    if existing is None:
+        return assign_keys(unseen, natural_key, surrogate_key)
+    unseen = unseen.join(existing, natural_key, "left_anti")
     return existing.unionByName(assign_keys(unseen, natural_key, surrogate_key, existing).select(*existing.columns))
 
 
-def scd2_merge(current: DataFrame, incoming: DataFrame, natural_key: list[str], tracked: list[str],
+def scd2_merge(current: DataFrame | None, incoming: DataFrame, natural_key: list[str], tracked: list[str],
                surrogate_key: str, effective: str = "effective") -> DataFrame:
-    """Apply dated changes to a versioned dimension.
+    """Apply dated changes to a versioned dimension; ``current=None`` is the first load.
 
     ``incoming`` holds the natural key, the tracked columns and the instant from which
     they hold. A key may change several times in one batch, a change may arrive late,
     and replaying a batch changes nothing. Keys absent from the batch stay as they are.
     """
-    key_columns = [F.col(c) for c in natural_key]
+    columns = [surrogate_key, *natural_key, *tracked, "ValidFrom", "ValidTo", "IsActive"]
     values = F.struct(*tracked)
-    arrived = incoming.select(*key_columns, F.col(effective).alias("ValidFrom"), *tracked)
-    changes = arrived.groupBy(*natural_key, "ValidFrom").agg(F.max(values).alias("_new"))
-    keys = changes.select(*natural_key).distinct()
-    untouched = current.join(keys, natural_key, "left_anti")
-    versions = current.join(keys, natural_key, "left_semi").select(
-        *key_columns, "ValidFrom", F.col(surrogate_key), values.alias("_old")
+    # The incoming rows may be costly to derive and are read several times below.
+    changes = store(
+        incoming.groupBy(*natural_key, F.col(effective).alias("ValidFrom")).agg(F.max(values).alias("_new")),
+        "changes",
     )
-    merged = versions.join(changes, [*natural_key, "ValidFrom"], "full_outer").select(
-        *key_columns, "ValidFrom", surrogate_key, F.coalesce("_new", "_old").alias("_values")
-    )
-    steps = neighbour(merged, natural_key, ["ValidFrom"], ["_values"], -1)
+    if current is None:
+        merged = changes.select(
+            *natural_key, "ValidFrom", F.lit(None).cast("long").alias(surrogate_key), F.col("_new").alias("_values")
+        )
+    else:
+        keys = changes.select(*natural_key).distinct()
+        versions = current.join(keys, natural_key, "left_semi").select(
+            *natural_key, "ValidFrom", surrogate_key, values.alias("_old")
+        )
+        merged = versions.join(changes, [*natural_key, "ValidFrom"], "full_outer").select(
+            *natural_key, "ValidFrom", surrogate_key, F.coalesce("_new", "_old").alias("_values")
+        )
+    largest = largest_group(merged, natural_key)
+    steps = neighbour(merged, natural_key, ["ValidFrom"], ["_values"], -1, largest)
     # A stored version stays even when it repeats its predecessor; a new row must differ.
     kept = steps.where(F.col(surrogate_key).isNotNull() | ~F.col("_values").eqNullSafe(F.col("prev__values")))
-    chained = neighbour(kept.drop("prev__values"), natural_key, ["ValidFrom"], ["ValidFrom"], +1).select(
-        *key_columns, "ValidFrom", surrogate_key, "_values.*",
+    chained = neighbour(kept.drop("prev__values"), natural_key, ["ValidFrom"], ["ValidFrom"], +1, largest).select(
+        *natural_key, "ValidFrom", surrogate_key, "_values.*",
         F.coalesce("next_ValidFrom", open_end()).alias("ValidTo"),
         F.col("next_ValidFrom").isNull().alias("IsActive"),
     )
-    old = chained.where(F.col(surrogate_key).isNotNull())
     new = chained.where(F.col(surrogate_key).isNull()).drop(surrogate_key)
-    numbered = assign_keys(new, [*natural_key, "ValidFrom"], surrogate_key, current)
-    columns = current.columns
-    return untouched.unionByName(old.select(*columns)).unionByName(numbered.select(*columns))
-
-
-def empty_like(df: DataFrame, table: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schemas.TABLES[table])
+    numbered = assign_keys(new, [*natural_key, "ValidFrom"], surrogate_key, current).select(*columns)
+    if current is None:
+        return numbered
+    untouched = current.join(keys, natural_key, "left_anti").select(*columns)
+    old = chained.where(F.col(surrogate_key).isNotNull()).select(*columns)
+    return untouched.unionByName(old).unionByName(numbered)
 
 
 # ---------------------------------------------------------------- dimensions
@@ -90,8 +101,7 @@ def build_dim_territory(territories: DataFrame, provinces: DataFrame, countries:
         .select(F.col("territory_id").cast("long").alias("Territory_ID"), F.col("country").alias("CountryRegion"))
         .groupBy("Territory_ID").agg(F.min("CountryRegion").alias("CountryRegion"))
     )
-    base = empty_like(incoming, "DimTerritory") if existing is None else existing
-    return scd0_load(base, incoming, ["Territory_ID"], "TerritorySuggorateKey")
+    return scd0_load(existing, incoming, ["Territory_ID"], "TerritorySuggorateKey")
 
 
 PRODUCT_TRACKED = ["ProductName", "Subcategory", "Model", "ProductLine", "Class", "Style"]
@@ -116,13 +126,11 @@ def product_rows(products: DataFrame, models: DataFrame, subcategories: DataFram
 def build_dim_product(products: DataFrame, models: DataFrame, subcategories: DataFrame,
                       existing: DataFrame | None = None) -> DataFrame:
     incoming = product_rows(products, models, subcategories)
-    base = empty_like(incoming, "DimProduct") if existing is None else existing
-    return scd2_merge(base, incoming, ["Product_ID"], PRODUCT_TRACKED, "ProductSuggorateKey")
+    return scd2_merge(existing, incoming, ["Product_ID"], PRODUCT_TRACKED, "ProductSuggorateKey")
 
 
 def build_dim_special_offer(offers: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    base = empty_like(offers, "DimSpecialOffer") if existing is None else existing
-    return scd2_merge(base, offers, ["SpecialOffer_ID"], OFFER_TRACKED, "SpecialOfferSuggorateKey")
+    return scd2_merge(existing, offers, ["SpecialOffer_ID"], OFFER_TRACKED, "SpecialOfferSuggorateKey")
 
 
 def lifetime_value(sales: DataFrame, customer: str = "customer_id", amount: str = "line_total") -> DataFrame:
@@ -160,16 +168,15 @@ def customer_rows(customers: DataFrame, sales: DataFrame, as_of: Column, ltv_bou
 def build_dim_customer(customers: DataFrame, sales: DataFrame, as_of: Column, ltv_bounds=X.LTV_BOUNDS,
                        loyalty_bounds=X.LOYALTY_BOUNDS, existing: DataFrame | None = None) -> DataFrame:
     incoming = customer_rows(customers, sales, as_of, ltv_bounds, loyalty_bounds)
-    base = empty_like(incoming, "DimCustomer") if existing is None else existing
-    return scd2_merge(base, incoming, ["Customer_ID"], CUSTOMER_TRACKED, "CustomerSuggorateKey")
+    return scd2_merge(existing, incoming, ["Customer_ID"], CUSTOMER_TRACKED, "CustomerSuggorateKey")
 
 
 def build_bridge(pairs: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One version per distinct ``(ProductSuggorateKey, SpecialOfferSuggorateKey, effective)`` pair."""
     keys = ["ProductSuggorateKey", "SpecialOfferSuggorateKey"]
-    base = empty_like(pairs, "BridgeProductSpecialOffer") if existing is None else existing
-    marked = pairs.select(*keys, "effective").distinct().withColumn("_present", F.lit(True))
-    merged = scd2_merge(base.withColumn("_present", F.lit(True)), marked, keys, ["_present"],
+    present = F.lit(True).alias("_present")  # a pair has no attributes that could change
+    base = None if existing is None else existing.select("*", present)
+    merged = scd2_merge(base, pairs.select(*keys, "effective", present), keys, ["_present"],
                         "BrdgProductSpecialOfferKey")
     return merged.drop("_present")
 
