@@ -32,14 +32,19 @@ def widest_axes(points: DataFrame, count: int = GRID_AXES) -> list[int]:
 
 
 def pack(points: DataFrame, cell, extra: list[str], rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Blocks ``(cell, block, pts)`` and the directory ``(cell, blocks)``, stored once.
+    """Blocks ``(cell, block, id, w, …, v)`` and the directory ``(cell, blocks)``, stored once.
+
+    A block is one row of arrays, with all its vectors in a single flat array.
 
     A cell with many points is cut into several blocks of about ``rows`` points.
     """
     placed = points.withColumn("cell", cell)
     directory = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(rows)).cast("int").alias("blocks"))
     numbered = placed.join(directory, "cell").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    packed = numbered.groupBy("cell", "block").agg(F.collect_list(F.struct("id", "w", "v", *extra)).alias("pts"))
+    rows = F.collect_list(F.struct("id", "w", "v", *extra))
+    packed = numbered.groupBy("cell", "block").agg(rows.alias("pts")).select(
+        "cell", "block", *[F.col(f"pts.{c}").alias(c) for c in ("id", "w", *extra)], F.flatten("pts.v").alias("v"),
+    )
     packed = store(packed, "blocks")
     return packed, packed.groupBy("cell").agg((F.max("block") + 1).alias("blocks"))
 
@@ -51,9 +56,8 @@ def neighbour_pairs(directory: DataFrame, axes: int) -> DataFrame:
     """
     shifted = directory.select(F.col("cell").alias("a"), F.col("blocks").alias("na"), F.col("cell").alias("b"))
     for axis in range(axes):
-        shifted = shifted.select("a", "na", F.explode(F.array(*[
-            F.transform("b", lambda x, i, s=step: F.when(i == axis, x + s).otherwise(x)) for step in (-1, 0, 1)
-        ])).alias("b"))
+        moved = [F.array(*[F.col("b")[i] + (step if i == axis else 0) for i in range(axes)]) for step in (-1, 0, 1)]
+        shifted = shifted.select("a", "na", F.explode(F.array(*moved)).alias("b"))
     adjoining = shifted.where(F.col("a") <= F.col("b")).join(
         directory.select(F.col("cell").alias("b"), F.col("blocks").alias("nb")), "b")
     pairs = adjoining.select(
@@ -63,18 +67,27 @@ def neighbour_pairs(directory: DataFrame, axes: int) -> DataFrame:
 
 
 def paired_blocks(packed: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(same, left_pts, right_pts)`` for each pair of blocks."""
-    left = packed.select(F.col("cell").alias("a"), F.col("block").alias("block_a"), F.col("pts").alias("left_pts"))
-    right = packed.select(F.col("cell").alias("b"), F.col("block").alias("block_b"), F.col("pts").alias("right_pts"))
+    """One row per pair of blocks: ``same``, and the columns of both with prefixes ``l_`` and ``r_``."""
+    fields = [c for c in packed.columns if c not in ("cell", "block")]
+    left = packed.select(F.col("cell").alias("a"), F.col("block").alias("block_a"),
+                         *[F.col(c).alias(f"l_{c}") for c in fields])
+    right = packed.select(F.col("cell").alias("b"), F.col("block").alias("block_b"),
+                          *[F.col(c).alias(f"r_{c}") for c in fields])
     return pairs.join(left, ["a", "block_a"]).join(right, ["b", "block_b"]).select(
-        ((F.col("a") == F.col("b")) & (F.col("block_a") == F.col("block_b"))).alias("same"), "left_pts", "right_pts"
+        ((F.col("a") == F.col("b")) & (F.col("block_a") == F.col("block_b"))).alias("same"),
+        *[f"{side}_{c}" for side in "lr" for c in fields],
     )
 
 
-def unpack(points) -> dict[str, np.ndarray]:
-    fields = {name: np.array([p[name] for p in points]) for name in points[0] if name != "v"}
-    fields["v"] = np.array([p["v"] for p in points], dtype=np.float64)
-    return fields
+def block_pairs(batches):
+    """``(same, left, right)`` of each row, with the vectors as matrices."""
+    for batch in batches:
+        sides = [[c for c in batch.columns if c.startswith(p)] for p in ("l_", "r_")]
+        for _, row in batch.iterrows():
+            left, right = ({c[2:]: np.asarray(row[c]) for c in names} for names in sides)
+            for side in (left, right):
+                side["v"] = side["v"].reshape(len(side["id"]), -1)
+            yield row["same"], left, right
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:

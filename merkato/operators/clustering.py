@@ -59,18 +59,15 @@ def kmeans_labels(df: DataFrame, vector: str, k: int, seed: int = SEED, starts:
 
 
 def _distance_sums(batches):
-    for batch in batches:
-        for same, left, right in zip(batch["same"], batch["left_pts"], batch["right_pts"]):
-            a = B.unpack(left)
-            b = a if same else B.unpack(right)
-            distance = np.sqrt(B.squared_distances(a["v"], b["v"]))
-            sides = [(a, b, distance)] if same else [(a, b, distance), (b, a, distance.T)]
-            for points, others, d in sides:
-                for label in np.unique(others["label"]):
-                    members = others["label"] == label
-                    yield pd.DataFrame({
-                        "id": points["id"], "other": label, "total": d[:, members] @ others["w"][members],
-                    })
+    for same, a, b in B.block_pairs(batches):
+        distance = np.sqrt(B.squared_distances(a["v"], b["v"]))
+        sides = [(a, b, distance)] if same else [(a, b, distance), (b, a, distance.T)]
+        for points, others, d in sides:
+            for label in np.unique(others["label"]):
+                members = others["label"] == label
+                yield pd.DataFrame({
+                    "id": points["id"], "other": label, "total": d[:, members] @ others["w"][members],
+                })
 
 
 def silhouette_points(df: DataFrame, vector: str, label: str, id_column: str) -> DataFrame:
@@ -129,9 +126,10 @@ def centres_in_units(model: KMeansModel, columns: list[str], means: list[float],
 
 def principal_axes(df: DataFrame, vector: str, k: int):
     """PCA of the mean-centred array column; fitted on the covariance, d×d on the driver."""
-    mean = feat.vector_stats(df, vector)["mean"]
-    centred = df.withColumn("_centred", array_to_vector(F.zip_with(
-        F.col(vector).cast("array<double>"), mean, lambda x, m: x - m)))
+    centred = df.select("*", feat.vector_stats(df, vector).alias("_stats")).withColumn(
+        "_centred", array_to_vector(F.zip_with(
+            F.col(vector).cast("array<double>"), F.col("_stats.mean"), lambda x, m: x - m))
+    ).drop("_stats")
     return PCA(k=k, inputCol="_centred", outputCol="_pc").fit(centred), centred
 
 

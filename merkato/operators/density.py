@@ -29,16 +29,13 @@ def _pairs(points: DataFrame, eps: float, extra: list[str]) -> DataFrame:
 
 def _neighbour_sums(eps: float):
     def run(batches):
-        for batch in batches:
-            for same, left, right in zip(batch["same"], batch["left_pts"], batch["right_pts"]):
-                a = B.unpack(left)
-                b = a if same else B.unpack(right)
-                near = B.squared_distances(a["v"], b["v"]) <= eps * eps
-                ids, sums = [a["id"]], [near @ b["w"]]
-                if not same:
-                    ids.append(b["id"])
-                    sums.append(near.T @ a["w"])
-                yield pd.DataFrame({"id": np.concatenate(ids), "n": np.concatenate(sums)})
+        for same, a, b in B.block_pairs(batches):
+            near = B.squared_distances(a["v"], b["v"]) <= eps * eps
+            ids, sums = [a["id"]], [near @ b["w"]]
+            if not same:
+                ids.append(b["id"])
+                sums.append(near.T @ a["w"])
+            yield pd.DataFrame({"id": np.concatenate(ids), "n": np.concatenate(sums)})
 
     return run
 
@@ -84,22 +81,19 @@ def _edges(eps: float):
         return child, root
 
     def run(batches):
-        for batch in batches:
-            for same, left, right in zip(batch["same"], batch["left_pts"], batch["right_pts"]):
-                a = B.unpack(left)
-                if not same:
-                    b = B.unpack(right)
-                    a = {k: np.concatenate([a[k], b[k]]) for k in a}
-                near = B.squared_distances(a["v"], a["v"]) <= eps * eps
-                core, ids = a["core"].astype(bool), a["id"]
-                at = np.flatnonzero(core)
-                child, root = forest(near[np.ix_(at, at)])
-                border, by = np.nonzero(near & ~core[:, None] & core[None, :])
-                yield pd.DataFrame({
-                    "src": np.concatenate([ids[at[child]], ids[border]]).astype("int64"),
-                    "dst": np.concatenate([ids[at[root]], ids[by]]).astype("int64"),
-                    "core": np.concatenate([np.ones(len(child), bool), np.zeros(len(border), bool)]),
-                })
+        for same, a, b in B.block_pairs(batches):
+            if not same:
+                a = {name: np.concatenate([a[name], b[name]]) for name in a}
+            near = B.squared_distances(a["v"], a["v"]) <= eps * eps
+            core, ids = a["core"].astype(bool), a["id"]
+            at = np.flatnonzero(core)
+            child, root = forest(near[np.ix_(at, at)])
+            border, by = np.nonzero(near & ~core[:, None] & core[None, :])
+            yield pd.DataFrame({
+                "src": np.concatenate([ids[at[child]], ids[border]]).astype("int64"),
+                "dst": np.concatenate([ids[at[root]], ids[by]]).astype("int64"),
+                "core": np.concatenate([np.ones(len(child), bool), np.zeros(len(border), bool)]),
+            })
 
     return run
 

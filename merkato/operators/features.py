@@ -222,10 +222,10 @@ def vector_stats(df: DataFrame, column: str) -> Column:
 
 def standardize_vectors(df: DataFrame, column: str) -> DataFrame:
     """The same scaling for each position of an array column."""
-    stats = vector_stats(df, column)
-    centred = F.zip_with(F.col(column).cast("array<double>"), stats["mean"], lambda x, m: x - m)
-    scaled = F.zip_with(centred, stats["std"], lambda x, s: F.when(s > 0, x / s).otherwise(0.0))
-    return df.withColumn(column, scaled)
+    with_stats = df.select("*", vector_stats(df, column).alias("_stats"))
+    centred = F.zip_with(F.col(column).cast("array<double>"), F.col("_stats.mean"), lambda x, m: x - m)
+    scaled = F.zip_with(centred, F.col("_stats.std"), lambda x, s: F.when(s > 0, x / s).otherwise(0.0))
+    return with_stats.withColumn(column, scaled).drop("_stats")
 
 
 def scale_steps(steps: DataFrame, features: list[str]) -> DataFrame:

@@ -1,0 +1,137 @@
+"""Forward and backward passes of the sequence autoencoder, on numpy batches.
+
+All weights live in one flat vector, so Spark can average and broadcast them.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+# Network sizes and dropout.
+HIDDEN, EMBEDDING, DECODER, LAYERS, DROPOUT = 64, 32, 64, 2, 0.2
+
+
+class Layout:
+    """Names, shapes and positions of the weights for a sequence shape."""
+
+    def __init__(self, steps: int, inputs: int, hidden: int = HIDDEN, embedding: int = EMBEDDING):
+        self.steps, self.inputs, self.hidden, self.embedding = steps, inputs, hidden, embedding
+        shapes: dict[str, tuple[int, ...]] = {}
+        for layer in range(LAYERS):
+            width = inputs if layer == 0 else hidden
+            shapes |= {f"x{layer}": (width, 4 * hidden), f"h{layer}": (hidden, 4 * hidden),
+                       f"bx{layer}": (4 * hidden,), f"bh{layer}": (4 * hidden,)}
+        half = hidden // 2
+        shapes |= {"p1": (hidden, half), "bp1": (half,), "p2": (half, embedding), "bp2": (embedding,)}
+        self.encoder_size = sum(int(np.prod(s)) for s in shapes.values())
+        out = steps * inputs
+        shapes |= {"d1": (embedding, DECODER), "bd1": (DECODER,), "d2": (DECODER, out), "bd2": (out,)}
+        self.shapes = shapes
+        self.size = sum(int(np.prod(s)) for s in shapes.values())
+
+    def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        found, at = {}, 0
+        for name, shape in self.shapes.items():
+            n = int(np.prod(shape))
+            found[name] = flat[at:at + n].reshape(shape)
+            at += n
+        return found
+
+    def initial(self, seed: int) -> np.ndarray:
+        """Uniform weights within one over the root of each layer's input width."""
+        rng, flat = np.random.default_rng(seed), np.empty(self.size)
+        fan = {"p1": self.hidden, "p2": self.hidden // 2, "d1": self.embedding, "d2": DECODER}
+        for name, view in self.views(flat).items():
+            bound = 1 / np.sqrt(fan.get(name.removeprefix("b"), self.hidden))
+            view[...] = rng.uniform(-bound, bound, view.shape)
+        return flat
+
+
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+
+
+def _recurrent(w, layer, x, hidden):
+    """Run one layer over ``x (batch, steps, width)``; returns outputs and what the backward pass needs."""
+    batch, steps, _ = x.shape
+    h, c = np.zeros((batch, hidden)), np.zeros((batch, hidden))
+    outputs, tape = np.empty((batch, steps, hidden)), []
+    for t in range(steps):
+        z = x[:, t] @ w[f"x{layer}"] + h @ w[f"h{layer}"] + w[f"bx{layer}"] + w[f"bh{layer}"]
+        i, f, o = (_sigmoid(z[:, k * hidden:(k + 1) * hidden]) for k in (0, 1, 3))
+        g = np.tanh(z[:, 2 * hidden:3 * hidden])
+        before, c = c, f * c + i * g
+        squashed = np.tanh(c)
+        tape.append((h, before, i, f, g, o, squashed))
+        h = o * squashed
+        outputs[:, t] = h
+    return outputs, tape
+
+
+def _recurrent_back(w, grad, layer, x, tape, d_out, hidden):
+    d_x, d_h, d_c = np.empty_like(x), 0.0, 0.0
+    for t in reversed(range(x.shape[1])):
+        h, before, i, f, g, o, squashed = tape[t]
+        d_h = d_h + d_out[:, t]
+        d_c = d_c + d_h * o * (1 - squashed**2)
+        d_z = np.concatenate([
+            d_c * g * i * (1 - i), d_c * before * f * (1 - f), d_c * i * (1 - g**2), d_h * squashed * o * (1 - o),
+        ], axis=1)
+        grad[f"x{layer}"] += x[:, t].T @ d_z
+        grad[f"h{layer}"] += h.T @ d_z
+        grad[f"bx{layer}"] += d_z.sum(0)
+        grad[f"bh{layer}"] += d_z.sum(0)
+        d_x[:, t], d_h, d_c = d_z @ w[f"x{layer}"].T, d_z @ w[f"h{layer}"].T, d_c * f
+    return d_x
+
+
+def embed(layout: Layout, flat: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Embeddings of a batch, without dropout."""
+    w, out = layout.views(flat), x
+    for layer in range(LAYERS):
+        out, _ = _recurrent(w, layer, out, layout.hidden)
+    return np.maximum(out[:, -1] @ w["p1"] + w["bp1"], 0) @ w["p2"] + w["bp2"]
+
+
+def loss_and_gradient(layout: Layout, flat: np.ndarray, x: np.ndarray, rng=None) -> tuple[float, np.ndarray]:
+    """Mean squared reconstruction error and its gradient; ``rng`` switches dropout on."""
+    w, flat_grad = layout.views(flat), np.zeros(layout.size)
+    grad = layout.views(flat_grad)
+
+    def mask(shape):
+        return 1.0 if rng is None else (rng.random(shape) >= DROPOUT) / (1 - DROPOUT)
+
+    first, tape0 = _recurrent(w, 0, x, layout.hidden)
+    m0 = mask(first.shape)
+    between = first * m0
+    second, tape1 = _recurrent(w, 1, between, layout.hidden)
+    last = second[:, -1]
+    a = last @ w["p1"] + w["bp1"]
+    m1 = mask(a.shape)
+    kept = np.maximum(a, 0) * m1
+    code = kept @ w["p2"] + w["bp2"]
+    b = code @ w["d1"] + w["bd1"]
+    active = np.maximum(b, 0)
+    error = active @ w["d2"] + w["bd2"] - x.reshape(len(x), -1)
+
+    def linear_back(name, source, d):
+        grad[name] += source.T @ d
+        grad["b" + name] += d.sum(0)
+        return d @ w[name].T
+
+    d = linear_back("d2", active, 2 * error / error.size)
+    d = linear_back("d1", code, d * (b > 0))
+    d = linear_back("p2", kept, d)
+    d = linear_back("p1", last, d * m1 * (a > 0))
+    d_second = np.zeros_like(second)
+    d_second[:, -1] = d
+    d_between = _recurrent_back(w, grad, 1, between, tape1, d_second, layout.hidden)
+    _recurrent_back(w, grad, 0, x, tape0, d_between * m0, layout.hidden)
+    return float(np.mean(error**2)), flat_grad
+
+
+def adam(flat, first, second, step, gradient, rate):
+    """One Adam update in place (Kingma & Ba 2015, default decay rates)."""
+    first += 0.1 * (gradient - first)
+    second += 0.001 * (gradient**2 - second)
+    flat -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
