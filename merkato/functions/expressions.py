@@ -65,7 +65,9 @@ def has_length(number: Column, length: int) -> Column:
 
 
 def half_even(value: Column, digits: int) -> Column:
-    return F.bround(value, digits)
+    """Round in doubles, a tie to the even digit."""
+    scale = F.lit(float(10**digits))
+    return F.rint(value.cast("double") * scale) / scale
 
 
 def date_key(moment: Column) -> Column:
@@ -93,5 +95,6 @@ def date_parts(moment: Column, names=SEASONS) -> list[Column]:
     ]
 
 
-def model_version(run_date: dt.date, tag: str = MODEL_TAG) -> Column:
-    return F.concat(F.lit(tag + "_"), F.date_format(F.lit(run_date), "yyyyMMdd"))
+def model_version(run_date: dt.date | Column, tag: str = MODEL_TAG) -> Column:
+    day = run_date if isinstance(run_date, Column) else F.lit(run_date)
+    return F.concat(F.lit(tag + "_"), F.date_format(day, "yyyyMMdd"))

@@ -31,6 +31,28 @@ def _matrix(sequences: pd.Series) -> np.ndarray:
     return np.array([np.stack(s) for s in sequences], dtype=np.float64)
 
 
+def _epoch(layout: R.Layout, shared, step: int, batch: int, rate: float, seeds: list[int]):
+    """One epoch over one shard, starting from the shared weights and moments."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("market")
+        x = _matrix(pdf["sequence"])
+        rng = np.random.default_rng([*seeds, int(pdf["shard"].iloc[0])])
+        flat, first, second = np.split(shared.value.copy(), 3)
+        order, total, batches = rng.permutation(len(x)), 0.0, 0
+        for at in range(0, len(x), batch):
+            loss, gradient = R.loss_and_gradient(layout, flat, x[order[at:at + batch]], rng)
+            batches += 1
+            R.adam(flat, first, second, step + batches, gradient, rate)
+            total += loss
+        return pd.DataFrame({
+            "rows": [float(len(x))], "total": [total], "batches": [batches],
+            "state": [np.concatenate([flat, first, second])],
+        })
+
+    return run
+
+
 def train(sequences: DataFrame, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 42,
           rows_per_shard: int = ROWS_PER_SHARD) -> Encoder:
     """Fit the autoencoder to ``(market, sequence)`` rows and return its weights and loss per epoch.
@@ -54,24 +76,10 @@ def train(sequences: DataFrame, epochs: int = EPOCHS, batch: int = BATCH, rate:
     step, losses = 0, []
     for epoch in range(epochs):
         shared = spark.sparkContext.broadcast(state)
-
-        def run(pdf: pd.DataFrame, epoch=epoch, shared=shared, step=step) -> pd.DataFrame:
-            pdf = pdf.sort_values("market")
-            x, shard = _matrix(pdf["sequence"]), int(pdf["shard"].iloc[0])
-            rng = np.random.default_rng([seed, epoch, shard])
-            flat, first, second = np.split(shared.value.copy(), 3)
-            order, total, batches = rng.permutation(len(x)), 0.0, 0
-            for at in range(0, len(x), batch):
-                loss, gradient = R.loss_and_gradient(layout, flat, x[order[at:at + batch]], rng)
-                batches += 1
-                R.adam(flat, first, second, step + batches, gradient, rate)
-                total += loss
-            return pd.DataFrame({
-                "rows": [float(len(x))], "total": [total], "batches": [batches],
-                "state": [np.concatenate([flat, first, second])],
-            })
-
-        done = data.groupBy("shard").applyInPandas(run, "rows double, total double, batches long, state array<double>")
+        done = data.groupBy("shard").applyInPandas(
+            _epoch(layout, shared, step, batch, rate, [seed, epoch]),
+            "rows double, total double, batches long, state array<double>",
+        )
         merged = done.agg(
             Summarizer.mean(array_to_vector("state"), F.col("rows")).alias("state"), F.sum("total"), F.sum("batches"),
             F.max("batches"),
