@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merkato.functions import expressions as X
-from merkato.operators.summaries import ALL
+from merkato.operators.summaries import whole
 
 # Priority bands, quartiles, budget shares, strategy names.
 HIGH_PRIORITY, MEDIUM_PRIORITY = 0.7, 0.4
@@ -26,7 +26,7 @@ def revenue_per_customer(summary: DataFrame) -> DataFrame:
 
 
 def _to_max(column: str) -> Column:
-    largest = F.max(column).over(ALL)
+    largest = F.max(column).over(whole())
     return F.col(column).cast("double") / F.coalesce(F.nullif(largest, F.lit(0)), F.lit(1)).cast("double")
 
 
@@ -35,7 +35,7 @@ def priority_score(summary: DataFrame) -> DataFrame:
     score = _to_max("size")
     if "total_revenue" in summary.columns:
         both = 0.5 * score + 0.5 * _to_max("total_revenue")
-        score = F.when(F.count("total_revenue").over(ALL) > 0, both).otherwise(score)
+        score = F.when(F.count("total_revenue").over(whole()) > 0, both).otherwise(score)
     return summary.select("*", score.alias("priority_score"))
 
 
@@ -46,7 +46,7 @@ def priority_band(scored: DataFrame) -> DataFrame:
 
 
 def quartile(column: str, share: float) -> Column:
-    return F.percentile(F.col(column).cast("double"), F.lit(share)).over(ALL)
+    return F.percentile(F.col(column).cast("double"), F.lit(share)).over(whole())
 
 
 def value_flag(summary: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def platform_actions(scored: DataFrame) -> DataFrame:
 
 def budget(scored: DataFrame) -> DataFrame:
     """Share of the flexible and of the total budget, in percent, by priority."""
-    total = F.sum("priority_score").over(ALL)
+    total = F.sum("priority_score").over(whole())
     weight = F.col("priority_score") / F.when(total > 0, total).otherwise(1.0)
     flexible = X.half_even(weight * 100 * FLEXIBLE_SHARE, 1)
     return scored.select(
@@ -114,7 +114,7 @@ def budget(scored: DataFrame) -> DataFrame:
 
 def strategy_bucket(summary: DataFrame) -> DataFrame:
     size, value = F.col("size"), F.col("revenue_per_customer")
-    relative = size / F.greatest(F.max("size").over(ALL), F.lit(1))
+    relative = size / F.greatest(F.max("size").over(whole()), F.lit(1))
     by_size = (
         F.when(size >= quartile("size", 0.75), LARGE).when(size <= quartile("size", 0.25), SMALL).otherwise(BALANCED)
     )

@@ -14,7 +14,11 @@ from merkato.functions import expressions as X
 from merkato.operators import features as feat
 from merkato.operators import star
 
-ALL = Window.partitionBy()  # only over frames with one row per cluster
+
+def whole():
+    """The window over a whole frame; used only where the frame has one row per cluster."""
+    return Window.partitionBy()
+
 
 
 def number(column: str) -> Column:
@@ -63,7 +67,7 @@ def cluster_metrics(rows: DataFrame, revenue: str | None = "Revenue", customers:
     grouped = rows.groupBy("cluster").agg(*aggregates)
     columns = [
         F.col("cluster"), F.col("points"),
-        X.half_even(F.col("points") / F.sum("points").over(ALL) * 100, 1).alias("pct_of_total"),
+        X.half_even(F.col("points") / F.sum("points").over(whole()) * 100, 1).alias("pct_of_total"),
     ]
     if revenue:
         columns += [
@@ -187,7 +191,7 @@ def deviations(rows: DataFrame, columns: list[str], top: int = 4) -> DataFrame:
     ])
     diffs = parts.select("cluster", *[
         (F.coalesce(X.ratio(F.col(f"s_{c}"), F.col("_rows")), F.lit(0.0))
-         - X.ratio(F.sum(f"s_{c}").over(ALL), F.sum(f"n_{c}").over(ALL))).alias(c)
+         - X.ratio(F.sum(f"s_{c}").over(whole()), F.sum(f"n_{c}").over(whole()))).alias(c)
         for c in columns
     ])
     position = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature"))
@@ -232,7 +236,7 @@ def cluster_profile(rows: DataFrame, k: int, revenue: str | None = "Revenue", qu
 def ratio_to_max(profile: DataFrame, columns: list[str]) -> DataFrame:
     """Each measure divided by its maximum; a maximum of 0 counts as 1."""
     return profile.select("cluster", *[
-        (F.col(c) / F.coalesce(F.nullif(F.max(c).over(ALL), F.lit(0)), F.lit(1)).cast("double")).alias(c)
+        (F.col(c) / F.coalesce(F.nullif(F.max(c).over(whole()), F.lit(0)), F.lit(1)).cast("double")).alias(c)
         for c in columns
     ])
 
