@@ -35,9 +35,7 @@ SHARE_BASES = ("customer", "row")
 
 def static_rows(wh) -> DataFrame:
     """Current-version sales with market, offer, customer and product attributes."""
-    rows = star.join_bridge(wh.table("FactSale"), wh.table("BridgeProductSpecialOffer"))
-    rows = star.join_offer(rows, wh.table("DimSpecialOffer"))
-    rows = star.join_product(rows, wh.table("DimProduct"))
+    rows = star.join_products(wh.table("FactSale"), star.offered_products(wh, offers=True))
     rows = star.join_customer(rows, wh.table("DimCustomer"))
     rows = star.join_territory(rows, wh.table("DimTerritory"))
     return rows.select(

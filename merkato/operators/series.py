@@ -30,8 +30,7 @@ def market_rows(wh, months: list[int] | None = None) -> DataFrame:
     facts = wh.table("FactSale")
     if months is not None:
         facts = facts.where(F.col("SaleMonth").isin(months))
-    rows = star.join_bridge(facts, wh.table("BridgeProductSpecialOffer"))
-    rows = star.join_product(rows, wh.table("DimProduct"))
+    rows = star.join_products(facts, star.offered_products(wh))
     rows = star.join_territory(rows, wh.table("DimTerritory"))
     rows = star.join_time(rows, wh.table("DimTime"))
     return rows.select(
@@ -93,17 +92,31 @@ def with_growth(metrics: DataFrame) -> DataFrame:
     )
 
 
+def recent_months(wh, lookback: int, grain: str = "month") -> list[int]:
+    """Months (YYYYMM) of the latest periods that have current-version sales.
+
+    The newest months of the partition list are tried first and older ones only if
+    those hold too few periods, so old files are not read. The list has one entry per
+    month of history.
+    """
+    stored = wh.table("FactSale").select("SaleMonth").where("SaleMonth IS NOT NULL").distinct()
+    candidates = sorted((r[0] for r in stored.collect()), reverse=True)
+    tried = lookback if grain == "month" else 1
+    while True:
+        rows = market_rows(wh, candidates[:tried])
+        found = recent_periods(rows, lookback, grain).collect()
+        if len(found) == lookback or tried >= len(candidates):
+            return sorted({r["year"] * 100 + r["month"] for r in found})
+        tried *= 2
+
+
 def market_series(wh, lookback: int = 12, grain: str = "month") -> DataFrame:
     """Metrics with growth of every market over the latest ``lookback`` periods.
 
-    The periods are found first from the join keys alone. They are at most ``lookback``
-    values, and as literals they prune the fact files before the wide aggregation.
+    The months of those periods are literals, so they prune the fact files before the
+    wide aggregation.
     """
-    rows = market_rows(wh)
-    months = [
-        r["year"] * 100 + r["month"]
-        for r in recent_periods(rows, lookback, grain).select("year", "month").distinct().collect()
-    ]
+    months = recent_months(wh, lookback, grain)
     recent = market_rows(wh, months).where((F.col("year") * 100 + F.col("month")).isin(months))
     metrics = period_metrics(recent, grain)
     if grain == "day":

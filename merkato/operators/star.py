@@ -28,20 +28,26 @@ def _versions(dim: DataFrame, version: str) -> DataFrame:
     return current(dim) if version == "current" else dim
 
 
-def join_bridge(facts: DataFrame, bridge: DataFrame, version: str = "current") -> DataFrame:
-    return facts.join(
-        _versions(bridge, version).select(
-            "BrdgProductSpecialOfferKey", "ProductSuggorateKey", "SpecialOfferSuggorateKey"
-        ), "BrdgProductSpecialOfferKey",
-    )
+def offered_products(wh, version: str = "current", offers: bool = False) -> DataFrame:
+    """Bridge rows with their product (and offer) attributes.
 
+    Joining the dimensions to each other first leaves one join for the facts, so they
+    are shuffled once for all product and offer columns, and not at all where the
+    result is small enough to broadcast.
+    """
+    bridge = _versions(wh.table("BridgeProductSpecialOffer"), version).select(
+        "BrdgProductSpecialOfferKey", "ProductSuggorateKey", "SpecialOfferSuggorateKey")
+    product = _versions(wh.table("DimProduct"), version).select(
+        "ProductSuggorateKey", "ProductName", "Subcategory", "Model", "ProductLine")
+    joined = bridge.join(product, "ProductSuggorateKey")
+    if offers:
+        joined = joined.join(_versions(wh.table("DimSpecialOffer"), version).select(
+            "SpecialOfferSuggorateKey", "DiscountPct"), "SpecialOfferSuggorateKey")
+    return joined.drop("ProductSuggorateKey", "SpecialOfferSuggorateKey")
 
-def join_product(rows: DataFrame, product: DataFrame, version: str = "current") -> DataFrame:
-    return rows.join(
-        _versions(product, version).select(
-            "ProductSuggorateKey", "ProductName", "Subcategory", "Model", "ProductLine"
-        ), "ProductSuggorateKey",
-    )
+
+def join_products(facts: DataFrame, products: DataFrame) -> DataFrame:
+    return facts.join(products, "BrdgProductSpecialOfferKey")
 
 
 def join_customer(rows: DataFrame, customer: DataFrame, version: str = "current") -> DataFrame:
@@ -52,12 +58,6 @@ def join_customer(rows: DataFrame, customer: DataFrame, version: str = "current"
     )
 
 
-def join_offer(rows: DataFrame, offer: DataFrame, version: str = "current") -> DataFrame:
-    return rows.join(
-        _versions(offer, version).select("SpecialOfferSuggorateKey", "DiscountPct"), "SpecialOfferSuggorateKey"
-    )
-
-
 def join_territory(rows: DataFrame, territory: DataFrame) -> DataFrame:
     return rows.join(
         territory.select(F.col("TerritorySuggorateKey").alias("DimTerritoryKey"), "CountryRegion"), "DimTerritoryKey"
@@ -76,8 +76,7 @@ def sales_star(wh, version: str = "current", keep: list[str] | None = None) -> D
     ``current`` keeps only sales whose dimension versions are still active and allows
     an unknown period; ``as_recorded`` keeps every version and needs the period.
     """
-    rows = join_bridge(wh.table("FactSale"), wh.table("BridgeProductSpecialOffer"), version)
-    rows = join_product(rows, wh.table("DimProduct"), version)
+    rows = join_products(wh.table("FactSale"), offered_products(wh, version))
     rows = join_customer(rows, wh.table("DimCustomer"), version)
     rows = join_territory(rows, wh.table("DimTerritory"))
     rows = join_time(rows, wh.table("DimTime"), "left" if version == "current" else "inner")
