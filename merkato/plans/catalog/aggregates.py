@@ -103,7 +103,7 @@ def _segments(wh):
 
 
 _SEGMENTS = """segments AS (SELECT market, CAST(length(market) % 3 AS INTEGER) AS segment, revenue, quantity
-  FROM steps WHERE back = 1)"""
+  FROM latest)"""
 
 
 def _measures(column):

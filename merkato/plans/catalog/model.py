@@ -44,7 +44,7 @@ def _(spark, folder):
 
 
 @query("M4_hybrid_vector", "SELECT market, CAST(pos AS INTEGER) AS position, value FROM (" + " UNION ALL ".join(
-    [f"SELECT market, {i} AS pos, {r(f'CAST({c} AS DOUBLE)')} AS value FROM steps WHERE back = 1"
+    [f"SELECT market, {i} AS pos, {r(f'CAST({c} AS DOUBLE)')} AS value FROM latest"
      for i, c in enumerate(("revenue", "quantity"))] +
     [f"SELECT market, {i + 2} AS pos, {_scaled([c], 'static').replace(' AS ' + c, ' AS value')}"
      for i, c in enumerate(feat.STATIC_FEATURES)]) + ")")

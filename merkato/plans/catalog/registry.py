@@ -217,6 +217,10 @@ steps AS (
       count(*) OVER (PARTITION BY market) AS n
     FROM series) WHERE n >= 6 AND back <= 6
 ),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY market ORDER BY year DESC, month DESC) AS n FROM series)
+  WHERE n = 1
+),
 summary AS (
   SELECT i.cluster, coalesce(size, 0) AS size, coalesce(total_revenue, 0) AS total_revenue,
     coalesce(avg_revenue, 0) AS avg_revenue, CAST(coalesce(size, 0) AS DOUBLE) AS total_customers,

@@ -39,8 +39,7 @@ def _(wh):
 
 
 @query("W4_latest_period", "SELECT market, datekey, CAST(revenue AS DOUBLE) AS revenue, quantity, CASE WHEN revenue < 10000 "
-       "THEN 'Low' WHEN revenue < 50000 THEN 'Medium' ELSE 'High' END AS productrange FROM (SELECT *, row_number() OVER "
-       "(PARTITION BY market ORDER BY year DESC, month DESC) AS n FROM series) WHERE n = 1")
+       "THEN 'Low' WHEN revenue < 50000 THEN 'Medium' ELSE 'High' END AS productrange FROM latest")
 def _(wh):
     return series.latest_period(series.market_series(wh))
 
