@@ -30,22 +30,57 @@ def _sliced(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str, start: Column | int = 1) -> DataFrame:
-    """Dense numbers ``start, start+1, …`` in the given order, for any row count."""
-    rows = _sliced(df, order, "numbered")
-    # One row per slice, so this window is bounded by the number of partitions.
+def _offsets(rows: DataFrame, size: Column) -> DataFrame:
+    """What comes before each slice. One row per slice, so the window is bounded by the partitions."""
     before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy(_SLICE).agg(F.count("*").alias("_rows")).select(
-        _SLICE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+    return rows.groupBy(_SLICE).agg(size.alias("_size")).select(
+        _SLICE, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
     )
-    first = F.lit(start) if isinstance(start, int) else start
+
+
+def number_rows(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
+    """Dense numbers ``start, start+1, …`` in the given order, for any row count.
+
+    The order should tell rows apart; where it may not, use ``number_copies``.
+    """
+    rows = _sliced(df, order, "numbered")
     return (
-        rows.join(F.broadcast(offsets), _SLICE)
-        .withColumn(name, (F.col("_before") + F.col(_POSITION) + first).cast("long"))
+        rows.join(F.broadcast(_offsets(rows, F.count("*"))), _SLICE)
+        .withColumn(name, (F.col("_before") + F.col(_POSITION) + start).cast("long"))
         .select(*df.columns, name)
     )
 
 
+# Copies of one row that a task writes out in one go.
+COPIES_PER_TASK = 100_000
+
+
+def number_copies(df: DataFrame, order: list[str], name: str, start: int = 1) -> DataFrame:
+    """Like ``number_rows`` where rows may be exact copies of each other.
+
+    Copies are counted before the sort, which could not split them, and written out
+    afterwards. A row with very many copies is written by several tasks.
+    """
+    rows = _sliced(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), [F.col(c) for c in order], "numbered")
+    upto = F.sum("_copies").over(Window.partitionBy(_SLICE).orderBy(_POSITION))
+    placed = rows.withColumn("_upto", upto).join(F.broadcast(_offsets(rows, F.sum("_copies"))), _SLICE).withColumn(
+        "_first", F.col("_before") + F.col("_upto") - F.col("_copies") + start)
+
+    def written(part: DataFrame, count: Column) -> DataFrame:
+        step = F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+        return part.select(*df.columns, "_first", "_copies", step.alias("_step"))
+
+    few = written(placed.where(F.col("_copies") <= COPIES_PER_TASK), F.col("_copies")).select(
+        *df.columns, (F.col("_first") + F.col("_step")).alias(name))
+    chunks = written(placed.where(F.col("_copies") > COPIES_PER_TASK),
+                     F.ceil(F.col("_copies") / COPIES_PER_TASK).cast("long"))
+    spread = chunks.repartition(F.col("_first"), F.col("_step")).select(
+        *df.columns, (F.col("_first") + F.col("_step") * COPIES_PER_TASK).alias("_first"),
+        F.least(F.lit(COPIES_PER_TASK).cast("long"), F.col("_copies") - F.col("_step") * COPIES_PER_TASK).alias("_copies"))
+    many = written(spread, F.col("_copies")).select(*df.columns, (F.col("_first") + F.col("_step")).alias(name))
+    return few.unionByName(many)
+
+
 def largest_group(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from merkato.functions.ordering import number_rows
@@ -116,8 +116,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = down.groupBy("src").agg(F.min("dst").alias("m"))
         small = down.join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).unionByName(
             least.select("src", F.col("m").alias("dst")))
-        current = store(small.where("src <> dst").distinct(), "edges")
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
+        watch = Observation()
+        checksum = F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))
+        current = store(small.where("src <> dst").distinct().observe(
+            watch, F.count("*").alias("edges"), checksum.alias("checksum")), "edges")
+        state = watch.get
         if state == seen:
             return current.select(F.col("src").alias("id"), F.col("dst").alias("root")).unionByName(
                 current.select(F.col("dst").alias("id"), F.col("dst").alias("root")).distinct())

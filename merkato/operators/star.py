@@ -31,10 +31,14 @@ def _versions(dim: DataFrame, version: str) -> DataFrame:
 def offered_products(wh, version: str = "current", offers: bool = False) -> DataFrame:
     """Bridge rows with their product (and offer) attributes.
 
-    Joining the dimensions to each other first leaves one join for the facts, so they
-    are shuffled once for all product and offer columns, and not at all where the
-    result is small enough to broadcast.
+    Joining the dimensions to each other first leaves one join for the facts. The result
+    is written once per warehouse: its file size tells Spark whether the facts must be
+    shuffled for that join at all.
     """
+    return wh.derived(f"products-{version}-{offers}", lambda: _offered_products(wh, version, offers))
+
+
+def _offered_products(wh, version: str, offers: bool) -> DataFrame:
     bridge = _versions(wh.table("BridgeProductSpecialOffer"), version).select(
         "BrdgProductSpecialOfferKey", "ProductSuggorateKey", "SpecialOfferSuggorateKey")
     product = _versions(wh.table("DimProduct"), version).select(

@@ -141,7 +141,7 @@ def _(spark, folder):
     return placed.select("vec_id", *[F.col(c)[i].alias(f"{c}{i + 1}") for c in ("pc", "explained") for i in range(2)])
 
 
-def _sequences(wh):
+def sequences_of(wh):
     static = feat.static_features(feat.static_rows(wh))
     return store(market_sequences(series.market_series(wh), static, Settings()), "sequences")
 
@@ -154,12 +154,12 @@ def _exploded(embedded):
 def _(wh):
     layout = recurrent.Layout(Settings().sequence_length, len(series.STEP_FEATURES))
     untrained = encoder.Encoder(layout, layout.initial(42)[:layout.size], [])
-    return _exploded(encoder.embed(_sequences(wh), untrained))
+    return _exploded(encoder.embed(sequences_of(wh), untrained))
 
 
 @query("M12_training_loss")
 def _(wh):
-    sequences = _sequences(wh)
+    sequences = sequences_of(wh)
     losses = encoder.train(sequences, epochs=5).losses
     return sequences.agg(F.count("*").alias("markets")).select(
         "markets", F.posexplode(F.array(*[F.lit(x) for x in losses])).alias("epoch", "loss"))
@@ -167,7 +167,7 @@ def _(wh):
 
 @query("M13_principal_embedding")
 def _(wh):
-    return _exploded(encoder.principal_embedding(_sequences(wh)))
+    return _exploded(encoder.principal_embedding(sequences_of(wh)))
 
 
 @query("M14_confidence", "SELECT round(avg(CASE WHEN own_size = 1 THEN 0 ELSE (nearest - own) / greatest(nearest, own) END), 4)"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merkato.operators import star
+from merkato.session import tune
 from merkato.sources.tpch import TpchWarehouse
 
 QUERIES: dict[str, Callable] = {}
@@ -35,6 +36,7 @@ def query(name: str, sql: str | None = None, ctes: str = "", source: bool = Fals
     """Register ``fn(wh)`` as a query; with ``source`` it is ``fn(spark, folder)`` on the raw tables."""
     def register(fn):
         def run(spark, folder):
+            tune(spark)
             return plain(fn(spark, folder) if source else fn(TpchWarehouse.of(spark, folder)))
 
         QUERIES[name] = run

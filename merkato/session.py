@@ -27,6 +27,13 @@ def build_session(app: str = "merkato", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the adaptive-execution settings to a session built elsewhere."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, named by ``spark.checkpoint.dir``.
 

@@ -19,6 +19,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._derived: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -28,6 +29,16 @@ class Warehouse:
 
     def save(self, name: str, df: DataFrame) -> None:
         create_table(name, df, self.path(name))
+        self._derived.clear()
+
+    def derived(self, name: str, build) -> DataFrame:
+        """A table computed from the warehouse, written on first use.
+
+        Read from files it has a known size, by which Spark decides whether to broadcast it.
+        """
+        if name not in self._derived:
+            self._derived[name] = store(build(), name)
+        return self._derived[name]
 
 
 def stored_schema(name: str) -> T.StructType:

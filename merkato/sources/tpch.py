@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merkato.functions.ordering import number_rows
+from merkato.functions.ordering import number_copies
 from merkato.operators import loading
 from merkato.session import new_path
 from merkato.sources.tables import Warehouse
@@ -172,7 +172,7 @@ class TpchWarehouse(Warehouse):
             )
             lines = order_lines(self.spark, self.folder).join(nation, "customer_id", "left")
             keyed = loading.lookup_product_offer(lines, self.table("DimProduct"), self.table("DimSpecialOffer"))
-            self._lines = number_rows(keyed, [F.col(c) for c in LINE_ORDER], "detail_id")
+            self._lines = number_copies(keyed, LINE_ORDER, "detail_id")
         return self._lines
 
     def bridge_pairs(self) -> DataFrame:

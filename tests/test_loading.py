@@ -92,6 +92,15 @@ def test_numbers_are_dense_and_ordered(spark):
     assert [(r.v, r.i) for r in rows] == sorted((v, i) for i, v in enumerate(values))
 
 
+def test_copies_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "COPIES_PER_TASK", 7)
+    values = [random.Random(5).randrange(40) for _ in range(300)] + [17] * 150
+    df = spark.createDataFrame([(v, str(v)) for v in values], "v long, t string").repartition(5)
+    rows = ordering.number_copies(df, ["v"], "n").orderBy("n").collect()
+    assert [r.n for r in rows] == list(range(1, 451))
+    assert [r.v for r in rows] == sorted(values)
+
+
 @pytest.mark.parametrize("step", [-1, 1])
 def test_sliced_neighbours_equal_the_plain_window(spark, step):
     rng = random.Random(2)
