@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -25,13 +26,18 @@ SEED, STARTS = 42, 10
 MIN_CLUSTERS, MAX_CLUSTERS, DEFAULT_ROW_CLUSTERS, DEFAULT_MARKET_CLUSTERS = 2, 10, 6, 5
 
 
-def kmeans_best(df: DataFrame, vector: str, k: int, seed: int = SEED, starts: int = STARTS) -> KMeansModel:
-    """The cheapest of several K-Means fits with consecutive seeds."""
+def kmeans_best(df: DataFrame, vector: str, k: int, seed: int = SEED, starts: int = STARTS,
+                parallelism: int = 4) -> KMeansModel:
+    """The cheapest of several K-Means fits with consecutive seeds, some of them at a time."""
     if not MIN_CLUSTERS <= k <= MAX_CLUSTERS:
         raise ValueError(f"k must be from {MIN_CLUSTERS} to {MAX_CLUSTERS}")
     data = df.select(F.col(vector).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = [KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(data) for i in range(starts)]
+        fit = inheritable_thread_target(df.sparkSession)(
+            lambda i: KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(data))
+        data.count()
+        with ThreadPool(parallelism) as pool:
+            models = pool.map(fit, range(starts))
         return min(models, key=lambda m: m.summary.trainingCost)
     finally:
         data.unpersist()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,11 +11,9 @@ from merkato.functions.ordering import largest_group, neighbour, number_rows
 from merkato.operators.star import as_of_lookup
 from merkato.session import store
 
-_OPEN = dt.datetime.fromisoformat(schemas.OPEN_END)
-
 
 def open_end() -> Column:
-    return F.lit(_OPEN).cast("timestamp_ntz")
+    return F.lit(schemas.OPEN_END).cast("timestamp_ntz")
 
 
 def assign_keys(rows: DataFrame, natural_key: list[str], surrogate_key: str,

