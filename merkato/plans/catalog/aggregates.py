@@ -248,10 +248,11 @@ def _(wh):
     return rounded(summaries.ratio_to_max(summaries.cluster_profile(labelled(wh), K), _AXES), _AXES)
 
 
-@query("A22_cluster_profile", "SELECT cluster, " + ", ".join(r(c) + f" AS {c}" for c in _AXES) + " FROM profile",
+# Only the mean of scores depends on the order of addition; the other axes are exact sums and their quotients.
+@query("A22_cluster_profile", f"SELECT cluster, {', '.join(_AXES[:4])}, {r('loyalty_score')} AS loyalty_score FROM profile",
        ctes=_PROFILE)
 def _(wh):
-    return rounded(summaries.cluster_profile(labelled(wh), K), _AXES)
+    return rounded(summaries.cluster_profile(labelled(wh), K), ["loyalty_score"])
 
 
 @query("A23_periods_per_market", "SELECT market, count(*) AS periods FROM series GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")
