@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merkato.llm import exact_dedup, mixing, quality
+from merkato.llm import exact_dedup, mixing, packing, quality, simhash
 from merkato.llm.common import read
 from merkato.session import tune
 
@@ -41,6 +41,16 @@ def _exact_dedup(spark, folder):
     return exact_dedup.exact_dedup(read(spark, folder, "documents"))
 
 
+@query("op2_simhash_near_dedup")
+def _simhash(spark, folder):
+    return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query("op3_sequence_packing")
+def _packing(spark, folder):
+    return packing.pack_documents(read(spark, folder, "documents"))
+
+
 @query("op7_quality_rules")
 def _quality(spark, folder):
     return quality.judge(read(spark, folder, "documents"))
