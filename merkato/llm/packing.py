@@ -51,8 +51,10 @@ class WordIds:
         self.ends = frozenset(i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>"))
         # For words of Latin-1 letters, already in lower case: one pre-token each, nothing to normalize.
         self.quick = Tokenizer(self.tokenizer.model)
-        self.quick.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.quick.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # Byte-level vocabularies write the bytes that are no visible Latin-1 characters as those from U+0100 on.
+        hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        self.visible = {b: 256 + k for k, b in enumerate(hidden) if b != 32}
         self.remembered, self.known = remembered, {}
 
     def of(self, text: str) -> bytes:
@@ -78,14 +80,15 @@ class WordIds:
         for word in words:
             text = word.decode()
             core = text[:-1] if text[-1] in ".," else text
-            if core.isalpha() and max(core) <= "\xff":
+            if core.isalpha() and (core.isascii() or max(core) <= "\xff"):
                 plain[core.lower()].append(word)
             else:
                 self.known[word] = self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         stops = {s: self._packed(self.tokenizer.encode(s, add_special_tokens=False).ids) for s in ".,"}
         todo = [c for c in plain if c.encode() not in self.known]
         parts = [todo[k:k + 64] for k in range(0, len(todo), 64)]
-        for part, made in zip(parts, self.quick.encode_batch_fast([" ".join(p) for p in parts]), strict=True):
+        lines = [" ".join(p).encode().decode("latin-1").translate(self.visible) for p in parts]
+        for part, made in zip(parts, self.quick.encode_batch_fast(lines), strict=True):
             start, cores, ids = 0, iter(part), made.ids
             for end, i in enumerate(ids, 1):
                 if i in self.ends:
