@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merkato.llm import exact_dedup, mixing, packing, quality, simhash
+from merkato.llm import exact_dedup, mixing, packing, quality, secret_scan, simhash, token_counts, toxicity
 from merkato.llm.common import read
 from merkato.session import tune
 
@@ -51,11 +51,27 @@ def _packing(spark, folder):
     return packing.pack_documents(read(spark, folder, "documents"))
 
 
+@query("op5_secret_scan")
+def _secrets(spark, folder):
+    return secret_scan.scan_documents(read(spark, folder, "documents"))
+
+
 @query("op7_quality_rules")
 def _quality(spark, folder):
     return quality.judge(read(spark, folder, "documents"))
 
 
+@query("op8_toxicity")
+def _toxicity(spark, folder):
+    docs = read(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, read(spark, folder, "labels")))
+
+
+@query("op9_token_counts")
+def _token_counts(spark, folder):
+    return token_counts.count_tokens(read(spark, folder, "documents"))
+
+
 MIX_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),

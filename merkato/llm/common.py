@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import sys
+import types
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,11 @@ def ship(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def worker_memory() -> dict:
+    """A dict that outlives a task: Python workers are reused, but shipped functions get new globals each time."""
+    return vars(sys.modules.setdefault("merkato_worker_memory", types.ModuleType("merkato_worker_memory")))
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merkato.llm.common import ship, store
+from merkato.llm.common import ship, store, worker_memory
 
 #: Fixed values of the contract: ids in a sequence, the id that closes a document.
 LENGTH, CLOSING = 2048, 1
@@ -32,8 +32,6 @@ VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a worker remembers before it starts anew.
 REMEMBERED = 1_200_000
 
-_WORKER: dict = {}
-
 
 class WordIds:
     """Ids of white-space separated words, each tokenized once as long as it is remembered.
@@ -114,15 +112,16 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
     closing = CLOSING.to_bytes(4, "little")
 
     def run(batches):
-        key = (vocabulary, remembered)
-        if _WORKER.get("key") != key:  # a worker runs many tasks and keeps what it knows
+        memory, key = worker_memory(), ("word ids", vocabulary, remembered)
+        if key not in memory:  # a worker runs many tasks and keeps what it knows
             import public_tokenizers
 
-            _WORKER.update(key=key, ids=WordIds(vocabulary or public_tokenizers.path(VOCABULARY), remembered))
+            memory[key] = WordIds(vocabulary or public_tokenizers.path(VOCABULARY), remembered)
+        known = memory[key]
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = memoryview(_WORKER["ids"].of(text.as_py() or "") + closing)
+                ids = memoryview(known.of(text.as_py() or "") + closing)
                 count = len(ids) // 4
                 rows += [(doc_id, at, min(length, count - at), zlib.crc32(ids[4 * at:4 * (at + length)]), count)
                          for at in range(0, count, length)]
