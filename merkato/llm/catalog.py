@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merkato.llm import exact_dedup, mixing, packing, quality, secret_scan, simhash, token_counts, toxicity
+from merkato.llm import chat_format, exact_dedup, mixing, packing, quality, secret_scan, simhash, token_counts, toxicity
 from merkato.llm.common import read
 from merkato.session import tune
 
@@ -56,6 +56,14 @@ def _secrets(spark, folder):
     return secret_scan.scan_documents(read(spark, folder, "documents"))
 
 
+@query("op6_chat_format")
+def _chat(spark, folder):
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    lines = chat_format.transcript_lines(chat_format.with_markers(turns))
+    return chat_format.format_lines(lines).select(
+        "conv_id", "turn", "line", "role", "recovered", "begins", "opens", "canonical")
+
+
 @query("op7_quality_rules")
 def _quality(spark, folder):
     return quality.judge(read(spark, folder, "documents"))
