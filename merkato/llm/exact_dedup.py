@@ -78,10 +78,29 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_column: st
     # A group of copies may hold a third of all rows: adaptive execution splits its partition.
     return rows.join(known.select("digest", "keep_id", F.col("copies").alias("group_size")), "digest").select(
         F.col("id").alias(id_column), "keep_id", "group_size",
-        (F.col("id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+        F.coalesce(F.col("id") == F.col("keep_id"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_dedup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """The documents that stay, with all their columns; of rows with one id and equal texts, one.
+
+    Ids that several rows have are rare; only those rows are exchanged with their texts.
+    """
+    found = store(exact_dedup(docs), "exact-dedup")
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
+    kept = store(ids.where("kept AND rows = 1").select("doc_id"), "kept-ids")
+    again = store(ids.where("rows > 1").select(F.col("doc_id").alias("_again")), "repeated-ids")
+    single = docs.join(kept, "doc_id", "left_semi")
+    nulls = found.where("doc_id IS NULL").limit(1).count()
+    if again.isEmpty() and not nulls:
+        return single
+    # Rows that share their id, or have none, are told apart by their digest; a kept digest gives one row.
+    wanted = found.where("kept OR keep_id IS NULL").select(
+        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).distinct()
+    shared = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    digest = F.sha2(without_blanks(whole_text()).cast("binary"), 256)
+    longest = shared.withColumn("_digest_of", digest).join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest_of") == F.col("_digest")), "left_semi")
+    one = longest.groupBy("doc_id", "_digest_of").agg(F.max_by(
+        F.struct(*docs.columns), F.char_length(whole_text())).alias("_row"))
+    return single.unionByName(one.select("_row.*"))
