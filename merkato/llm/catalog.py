@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merkato.llm import chat_format, exact_dedup, mixing, packing, quality, secret_scan, simhash, token_counts, toxicity
+from merkato.llm import chat_format, exact_dedup, mixing, packing, quality, secret_scan, simhash, suffix_dedup, token_counts, toxicity
 from merkato.llm.common import read
 from merkato.session import tune
 
@@ -51,6 +51,11 @@ def _packing(spark, folder):
     return packing.pack_documents(read(spark, folder, "documents"))
 
 
+@query("op4_suffix_dedup")
+def _suffixes(spark, folder):
+    return suffix_dedup.remove_repeats(read(spark, folder, "documents")).drop("kept")
+
+
 @query("op5_secret_scan")
 def _secrets(spark, folder):
     return secret_scan.scan_documents(read(spark, folder, "documents"))
