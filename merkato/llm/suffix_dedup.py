@@ -181,9 +181,39 @@ def _units(rows: list[tuple[int, bytes]], reach: int) -> tuple[np.ndarray, list[
     return symbols, bounds, first
 
 
+def _longest_shared(sides: list[bytes]) -> list[int]:
+    """For every text the longest beginning that it has in common with another one: a neighbour in sorted order."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    longest = [0] * len(sides)
+    for a, b in zip(order, order[1:], strict=False):
+        x, y = sides[a], sides[b]
+        n = min(len(x), len(y))
+        if x[:n] != y[:n]:
+            n = int((np.frombuffer(x, np.uint8, n) != np.frombuffer(y, np.uint8, n)).argmax())
+        longest[a], longest[b] = max(longest[a], n), n
+    return longest
+
+
 def repeated_starts(rows: list[tuple[int, bytes]], length: int = LENGTH) -> list[np.ndarray]:
-    """For every segment of one anchor, which of its window starts have an equal window in another segment."""
-    reach = length
+    """For every segment of one anchor, which of its window starts have an equal window in another segment.
+
+    Every window holds the anchor, so an equal one agrees on both sides of it: what lies beyond the longest
+    agreement with any other segment, to the left and to the right, is cut off before sorting.
+    """
+    left = _longest_shared([raw[:o][::-1] for o, raw in rows])
+    right = _longest_shared([raw[o:] for o, raw in rows])
+    result = [np.zeros(max(len(raw) - length + 1, 0), bool) for _, raw in rows]
+    able = [k for k in range(len(rows)) if left[k] + right[k] >= length]
+    trimmed = [(left[k], rows[k][1][rows[k][0] - left[k]:rows[k][0] + right[k]]) for k in able]
+    for k, marks in zip(able, _sorted_starts(trimmed, length) if len(able) > 1 else (), strict=False):
+        start = rows[k][0] - left[k]
+        result[k][start:start + len(marks)] = marks
+    return result
+
+
+def _sorted_starts(rows: list[tuple[int, bytes]], length: int) -> list[np.ndarray]:
+    """The same from the suffix array of all segments."""
+    reach = max(o for o, _ in rows)
     symbols, bounds, first = _units(rows, reach)
     text, row_of, unit_of = [], [], []
     for k, (a, b) in enumerate(bounds):
