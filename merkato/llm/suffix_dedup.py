@@ -387,7 +387,8 @@ def _counted_spans(cut: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
     """``(doc_id, check, low, high)``: byte spans that strings starting elsewhere cover; spans may overlap."""
-    twice = _anchors(docs, length, False).groupBy("anchor").count().where("count > 1").select("anchor")
+    # Stored, so that the join below is one of plain rows, whose hot anchors adaptive execution can split.
+    twice = store(_anchors(docs, length, False).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     rows = store(_anchors(docs, length, True).join(twice, "anchor"), "segments")
     kinds = store(rows.groupBy("anchor", "digest").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "check", "first", "count")).alias("at")), "kinds")
