@@ -10,8 +10,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from merkato.plans.catalog import QUERIES  # noqa: E402
-from merkato.plans.catalog.model import sequences_of  # noqa: E402
-from merkato.operators import encoder  # noqa: E402
 from merkato.session import build_session  # noqa: E402
 from merkato.sources.tpch import TpchWarehouse  # noqa: E402
 
@@ -41,8 +39,6 @@ def main() -> None:
     timed("load_warehouse", lambda: TpchWarehouse.of(spark, folder).load())
     for name in HEADLINE:
         timed(name, lambda: QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save())
-    sequences = sequences_of(TpchWarehouse.of(spark, folder))
-    timed("train_50_epochs", lambda: encoder.train(sequences))
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"), "cores": int(cores),

@@ -21,16 +21,14 @@ from merkato.operators import blocks as B
 from merkato.operators import features as feat
 from merkato.session import store
 
-# Seed, number of starts, and the cluster range and defaults.
+# Seed, number of starts, and the default numbers of clusters.
 SEED, STARTS = 42, 10
-MIN_CLUSTERS, MAX_CLUSTERS, DEFAULT_ROW_CLUSTERS, DEFAULT_MARKET_CLUSTERS = 2, 10, 6, 5
+DEFAULT_ROW_CLUSTERS, DEFAULT_MARKET_CLUSTERS = 6, 5
 
 
 def kmeans_best(df: DataFrame, vector: str, k: int, seed: int = SEED, starts: int = STARTS,
                 parallelism: int = 4) -> KMeansModel:
     """The cheapest of several K-Means fits with consecutive seeds, some of them at a time."""
-    if not MIN_CLUSTERS <= k <= MAX_CLUSTERS:
-        raise ValueError(f"k must be from {MIN_CLUSTERS} to {MAX_CLUSTERS}")
     data = df.select(F.col(vector).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fit = inheritable_thread_target(df.sparkSession)(
@@ -170,7 +168,7 @@ def encode_rows(df: DataFrame, columns: list[str]) -> DataFrame:
         F.coalesce(F.col(c).cast("string"), F.lit(X.UNKNOWN)).alias(f"{c}__cat") for c in categorical
     ])
     cats = [f"{c}__cat" for c in categorical]
-    stages = feat.one_hot_stages(prepared, cats) + [
+    stages = feat.one_hot_stages(cats) + [
         VectorAssembler(inputCols=[f"{c}__num" for c in numeric] + [f"{c}__hot" for c in cats], outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=False, withStd=True),
     ]

@@ -108,12 +108,12 @@ def few_values(df: DataFrame, columns: list[str], at_most: int) -> DataFrame:
 
     A sketch first rules out the wide columns. At most n values set at most n of its 512
     registers, which keeps its estimate below n + 1 up to n = 31, so no column is missed.
-    Only the rest is counted exactly.
+    Only the rest is counted exactly; for a larger n every column is.
     """
-    if at_most > 31:
-        raise ValueError("at_most is limited to 31")
-    sketched = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    narrow = [c for c in columns if sketched[c] <= at_most + 1]
+    narrow = columns
+    if at_most <= 31:
+        sketched = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+        narrow = [c for c in columns if sketched[c] <= at_most + 1]
     if not narrow:
         return df.sparkSession.createDataFrame([], "column_name string, distinct_values long")
     counted = df.agg(*[F.count_distinct(c).alias(c) for c in narrow])
@@ -244,32 +244,23 @@ def hybrid_vectors(embeddings: DataFrame, static: DataFrame, features: list[str]
 
 # --------------------------------------------------------------------- one-hot
 
-# The widest one-hot block accepted for one column.
-MAX_ONE_HOT = 10_000
+def one_hot_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Numeric columns first, then 0/1 columns ``<column>_<value>`` without each first value.
 
-
-def one_hot_columns(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> DataFrame:
-    """Numeric columns first, then 0/1 columns ``<column>_<value>`` without each first value."""
-    values = {}
-    for c in columns:
-        found = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(limit + 1).collect()]
-        if len(found) > limit:
-            raise ValueError(f"{c} has more than {limit} values; use the sparse encoding")
-        values[c] = found[1:]
+    The result has a column for every value, so the values are read to name them; for columns of
+    very many values use the sparse encoding of ``one_hot_stages``.
+    """
+    values = {c: [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()][1:] for c in columns}
     rest = [c for c in df.columns if c not in columns]
     return df.select(*rest, *[
         F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int").alias(f"{c}_{v}") for c in columns for v in values[c]
     ])
 
 
-def one_hot_stages(df: DataFrame, columns: list[str], limit: int = MAX_ONE_HOT) -> list:
+def one_hot_stages(columns: list[str]) -> list:
     """Sparse one-hot encoding stages for wide categories, dropping each first value."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
-    sketched = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    for c in columns:
-        if sketched[c] > limit:
-            raise ValueError(f"{c} has about {sketched[c]} values, above the one-hot limit of {limit}")
     if not columns:
         return []
     indexed = [f"{c}__index" for c in columns]
@@ -281,12 +272,8 @@ def one_hot_stages(df: DataFrame, columns: list[str], limit: int = MAX_ONE_HOT)
 
 def unique_names(columns: list[str]) -> list[str]:
     """Repeated names get the suffix ``__dup1``, ``__dup2``, … in order."""
-    seen: dict[str, int] = {}
-    result = []
-    for c in columns:
-        seen[c] = seen.get(c, 0) + 1
-        result.append(c if seen[c] == 1 else f"{c}__dup{seen[c] - 1}")
-    return result
+    earlier = [columns[:place].count(name) for place, name in enumerate(columns)]
+    return [name + f"__dup{count}" * bool(count) for name, count in zip(columns, earlier, strict=True)]
 
 
 def beside(left: DataFrame, right: DataFrame, key: str = "cluster") -> DataFrame:

@@ -202,8 +202,11 @@ def deviations(rows: DataFrame, columns: list[str], top: int = 4) -> DataFrame:
 
 
 def encoded_means(rows: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """Means of numeric and one-hot columns per cluster."""
-    encoded = feat.one_hot_columns(rows.select("cluster", *numeric, *categorical), categorical)
+    """Means of numeric and one-hot columns per cluster; gaps count as 0 and as the unknown category."""
+    filled = rows.select(
+        "cluster", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in numeric],
+        *[F.coalesce(F.col(c).cast("string"), F.lit(X.UNKNOWN)).alias(c) for c in categorical])
+    encoded = feat.one_hot_columns(filled, categorical)
     return cluster_means(encoded, [c for c in encoded.columns if c != "cluster"])
 
 

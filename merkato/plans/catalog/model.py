@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from merkato.operators import clustering, density, encoder, recurrent, series, star, summaries
+from merkato.operators import clustering, density, encoder, series, star, summaries
 from merkato.operators import features as feat
 from merkato.plans.catalog.decide import REPRESENTATIVES, _CATEGORIES
 from merkato.plans.catalog.registry import labelled, query, r, rounded
@@ -150,21 +150,6 @@ def _exploded(embedded):
     return embedded.select("market", F.posexplode("embedding").alias("position", "value"))
 
 
-@query("M11_sequence_encoder")
-def _(wh):
-    layout = recurrent.Layout(Settings().sequence_length, len(series.STEP_FEATURES))
-    untrained = encoder.Encoder(layout, layout.initial(42)[:layout.size], [])
-    return _exploded(encoder.embed(sequences_of(wh), untrained))
-
-
-@query("M12_training_loss")
-def _(wh):
-    sequences = sequences_of(wh)
-    losses = encoder.train(sequences, epochs=5).losses
-    return sequences.agg(F.count("*").alias("markets")).select(
-        "markets", F.posexplode(F.array(*[F.lit(x) for x in losses])).alias("epoch", "loss"))
-
-
 @query("M13_principal_embedding")
 def _(wh):
     return _exploded(encoder.principal_embedding(sequences_of(wh)))
@@ -183,7 +168,7 @@ def _(spark, folder):
 
 @query("M15_market_segmentation")
 def _(wh):
-    return run_segmentation(wh, Settings(embedding="pca")).segments
+    return run_segmentation(wh, Settings()).segments
 
 
 @query("M16_row_segmentation")

@@ -25,7 +25,7 @@ class Settings:
     sequence_length: int = 6
     clusters: int = clustering.DEFAULT_MARKET_CLUSTERS
     method: str = "kmeans"
-    embedding: str = "lstm"
+    embedding: str = "pca"
     epochs: int = encoder.EPOCHS
     batch: int = encoder.BATCH
     rate: float = encoder.RATE

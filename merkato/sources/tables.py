@@ -73,15 +73,14 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A CSV file with header. Give the schema where it is known: inferring reads the file twice."""
-    if schema is not None:
-        return spark.read.csv(path, header=True, schema=schema)
-    return spark.read.csv(path, header=True, inferSchema=True)
+    how = {"header": True, "quote": '"', "escape": '"', "multiLine": True}  # doubled quotes, line breaks inside quotes
+    return spark.read.csv(path, **how, **({"schema": schema} if schema is not None else {"inferSchema": True}))
 
 
 def write_csv(df: DataFrame, folder: str, name: str, at: dt.datetime | None = None) -> str:
     stamp = (at or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
     path = f"{folder.rstrip('/')}/{name}_{stamp}.csv"
-    df.write.option("header", True).csv(path)
+    df.write.csv(path, header=True, quote='"', escape='"')
     return path
 
 
@@ -135,11 +134,9 @@ def lower_columns(df: DataFrame) -> DataFrame:
 
 def find_column(df: DataFrame, *names: str) -> str | None:
     """The column whose trimmed name equals one of ``names`` in any case, first name first."""
-    for name in names:
-        for column in df.columns:
-            if column.strip().lower() == name.strip().lower():
-                return column
-    return None
+    plain = lambda text: text.strip().lower()
+    by_name = {plain(column): column for column in reversed(df.columns)}
+    return next((by_name[plain(name)] for name in names if plain(name) in by_name), None)
 
 
 def preview(df: DataFrame, keys: list[str], rows: int = 100) -> DataFrame:
@@ -187,7 +184,9 @@ def upsert_segments(spark: SparkSession, path: str, source: DataFrame, now: Colu
     name = "FactMarketSegmentation"
     try:
         target = scan(spark, path, schemas.TABLES[name])
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         target = spark.createDataFrame([], schemas.TABLES[name])
     typed = source.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields

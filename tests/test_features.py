@@ -92,12 +92,34 @@ def test_scaling_uses_population_deviation(spark):
     assert sorted(r.v[0] for r in feat.standardize_vectors(vector, "v").collect()) == pytest.approx([r.a for r in rows])
 
 
-def test_wide_categories_are_refused(spark):
+def test_wide_categories_are_encoded(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="c has"):
-        feat.one_hot_columns(df, ["c"])
-    with pytest.raises(ValueError, match="c has"):
-        feat.one_hot_stages(df, ["c"], limit=10)
+    wide = feat.one_hot_columns(df, ["c"])
+    assert len(wide.columns) == 49 and sum(sum(r) for r in wide.collect()) == 49
+    assert feat.few_values(df, ["c"], 60).collect() == [("c", 50)]
+
+
+def test_encoded_means_count_gaps(spark):
+    df = spark.createDataFrame([(0, 1.0, "x"), (0, None, None), (1, 3.0, "y")], "cluster int, n double, c string")
+    found = {r.cluster: r.asDict() for r in summaries.encoded_means(df, ["n"], ["c"]).collect()}
+    assert found[0]["n"] == 0.5 and found[1]["n"] == 3.0
+    assert sum(v for k, v in found[0].items() if k.startswith("c_")) in (0.5, 1.0)
+
+
+def test_names_repeat_with_a_number():
+    assert feat.unique_names(["a", "b", "a", "a"]) == ["a", "b", "a__dup1", "a__dup2"]
+
+
+def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
+    from merkato.sources.tables import find_column, read_csv, write_csv
+
+    (tmp_path / "in.csv").write_text('a,b\n1,"x ""y"", z"\n2,"two\nlines"\n3,plain\n')
+    rows = read_csv(spark, str(tmp_path / "in.csv"), spark.createDataFrame([], "a int, b string").schema)
+    wanted = [(1, 'x "y", z'), (2, "two\nlines"), (3, "plain")]
+    assert sorted(map(tuple, rows.collect())) == wanted
+    out = write_csv(rows, str(tmp_path), "out")
+    assert sorted(map(tuple, read_csv(spark, out, rows.schema).collect())) == wanted
+    assert find_column(rows.toDF(" A ", "b"), "x", "a") == " A " and find_column(rows, "z") is None
 
 
 def rows_of(spark, *rows):
