@@ -36,6 +36,8 @@ DICTIONARY, LEVEL, FRAGMENT, CONTRAST, LEAST_DOCUMENTS = 16_384, 3, 5, 8.0, 4
 #: Distances (bytes saved) whose share of windows is a feature; score from which a document is predicted toxic.
 THRESHOLDS, PREDICTED = (2, 3, 4), 0.3
 REMEMBERED = 1_000_000
+#: Behind every window: zstandard begins no match in the last bytes of its input, where short words end.
+TAIL = bytes(12)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -82,7 +84,7 @@ class Distances:
         if len(self.known) > self.remembered:
             self.known.clear()
         for word in set(own).difference(self.known):
-            window = b" " + word + b" "
+            window = b" " + word + b" " + TAIL
             self.known[word] = len(self.sizes[1](window)) - len(self.sizes[0](window))
         found = np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
         top = np.sort(found)[::-1][:3]
