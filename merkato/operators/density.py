@@ -98,15 +98,16 @@ def _edges(eps: float):
     return run
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(id, root)`` with the lowest id of each component, for vertices that have edges.
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014). Each round is
-    written to the shared folder, so neither the plan nor its lineage grows.
+    Alternates the large-star and small-star steps of Kiveris et al. (2014) until a round
+    changes nothing. Each round is written to the shared folder, so neither the plan nor
+    its lineage grows.
     """
     current = store(edges.select("src", "dst").where("src <> dst").distinct(), "edges")
     seen = None
-    for _ in range(max_rounds):
+    while True:
         both = current.unionByName(current.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         lowest = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("m"))
         large = both.join(lowest, "src").where("dst > src").select(
@@ -125,7 +126,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             return current.select(F.col("src").alias("id"), F.col("dst").alias("root")).unionByName(
                 current.select(F.col("dst").alias("id"), F.col("dst").alias("root")).distinct())
         seen = state
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def dbscan(df: DataFrame, vector: str, id_column: str, eps: float = EPS, min_samples: int = MIN_SAMPLES) -> DataFrame:

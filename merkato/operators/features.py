@@ -54,10 +54,15 @@ def static_features(rows: DataFrame, share_basis: str = "customer") -> DataFrame
     """
     if share_basis not in SHARE_BASES:
         raise ValueError(f"share_basis must be one of {SHARE_BASES}")
-    per_customer = rows.groupBy("market", "DimCustomerKey", "LoyaltyStatus").agg(
+    kinds = ["market", "ProductLine", "Subcategory"]
+    measures = ["lines", "discount", "discounts", "ltv", "ltvs"]
+    # The joined sales are read once, for the customers and for the products.
+    reduced = store(rows.groupBy(*kinds, "DimCustomerKey", "LoyaltyStatus").agg(
         F.count("*").alias("lines"), F.sum("DiscountPct").alias("discount"), F.count("DiscountPct").alias("discounts"),
         F.sum("LifeTimeValue").alias("ltv"), F.count("LifeTimeValue").alias("ltvs"),
-    )
+    ), "static-rows")
+    per_customer = reduced.groupBy("market", "DimCustomerKey", "LoyaltyStatus").agg(
+        *[F.sum(m).alias(m) for m in measures])
     weight = F.lit(1) if share_basis == "customer" else F.col("lines")
 
     def share(tier: str) -> Column:
@@ -69,7 +74,7 @@ def static_features(rows: DataFrame, share_basis: str = "customer") -> DataFrame
         *[share(tier).alias(name) for name, tier in TIER_SHARES.items()],
         X.ratio(F.sum("ltv"), F.sum("ltvs")).alias("avgltv"),
     )
-    mix = rows.groupBy("market", "ProductLine", "Subcategory").agg(F.lit(1).alias("_")).groupBy("market").agg(
+    mix = reduced.select(*kinds).distinct().groupBy("market").agg(
         F.count_distinct("ProductLine").alias("totalproductlines"),
         F.count_distinct("Subcategory").alias("totalsubcategories"),
     )

@@ -27,8 +27,10 @@ def assign_keys(rows: DataFrame, natural_key: list[str], surrogate_key: str,
 
 def scd0_load(existing: DataFrame | None, incoming: DataFrame, natural_key: list[str],
               surrogate_key: str) -> DataFrame:
-    """Insert keys not seen before; rows already present never change."""
-    unseen = incoming.dropDuplicates(natural_key)
+    """Insert keys not seen before; rows already present never change. Of rows with one key, the smallest is taken."""
+    values = [c for c in incoming.columns if c not in natural_key]
+    unseen = incoming.groupBy(*natural_key).agg(F.min(F.struct(F.lit(0).alias("_"), *values)).alias("_row")).select(
+        *[F.col(f"_row.{c}") if c in values else F.col(c) for c in incoming.columns])
     if existing is None:
         return assign_keys(unseen, natural_key, surrogate_key)
     unseen = unseen.join(existing, natural_key, "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from merkato.operators import decisions, summaries
 from merkato.plans.catalog.registry import K, labelled, query, r, rounded
 from merkato.plans.catalog.windows import DEVIATIONS, _NUMERIC
+from merkato.session import store
 
 _CATEGORIES = ["Subcategory", "ProductLine", "Gender", "LoyaltyStatus"]
 REPRESENTATIVES = "representatives AS (SELECT cluster, feature, value, 100.0::DOUBLE * n / CAST(size AS DOUBLE) AS share_pct " \
@@ -16,8 +17,12 @@ REPRESENTATIVES = "representatives AS (SELECT cluster, feature, value, 100.0::DO
         for c in _CATEGORIES) + ")) WHERE k = 1)"
 
 
+def _scored(rows):
+    return decisions.priority_score(decisions.revenue_per_customer(summaries.cluster_summary(rows, K)))
+
+
 def _summary(wh):
-    return decisions.priority_score(decisions.revenue_per_customer(summaries.cluster_summary(labelled(wh), K)))
+    return _scored(labelled(wh))
 
 
 @query("D1_revenue_per_customer", f"SELECT cluster, {r('revenue_per_customer')} AS revenue_per_customer FROM scored")
@@ -67,9 +72,9 @@ def _(wh):
        "value, share_pct), ', ' ORDER BY feature) FROM representatives GROUP BY 1",
        ctes=f"{DEVIATIONS}, {REPRESENTATIVES}")
 def _(wh):
-    rows = labelled(wh)
+    rows = store(labelled(wh), "labelled")
     return decisions.recommendations(
-        _summary(wh), summaries.deviations(rows, _NUMERIC), summaries.representatives(rows, _CATEGORIES))
+        _scored(rows), summaries.deviations(rows, _NUMERIC), summaries.representatives(rows, _CATEGORIES))
 
 
 @query("D8_platform_actions", "SELECT 'focus' AS kind, CAST(position AS INTEGER) AS position, cluster FROM (SELECT cluster, "

@@ -106,22 +106,26 @@ def _(spark, folder):
     return density.dbscan(_points(spark, folder), "embedding", "vec_id", 1.1, 3)
 
 
-@query("M7_silhouette", f"""
-SELECT {r('avg(CASE WHEN own_size = 1 THEN 0 ELSE (nearest - own) / greatest(nearest, own) END)')} AS silhouette FROM (
+def _silhouette_sql(distance):
+    return f"""
+SELECT count(*) AS points,
+  {r('avg(CASE WHEN own_size = 1 THEN 0 ELSE (nearest - own) / greatest(nearest, own) END)')} AS silhouette FROM (
   SELECT a, max(CASE WHEN label = mine THEN total / nullif(n - 1, 0) END) AS own,
     max(CASE WHEN label = mine THEN n END) AS own_size, min(CASE WHEN label <> mine THEN total / n END) AS nearest
-  FROM (SELECT a, label, sum(d) AS total, count(*) AS n FROM distances GROUP BY 1, 2)
-  JOIN (SELECT vec_id, label AS mine FROM embeddings) ON vec_id = a GROUP BY 1)""",
-       ctes=_PAIRS.format(eps=0), source=True)
+  FROM (SELECT a, label, sum({distance}) AS total, count(*) AS n FROM distances GROUP BY 1, 2)
+  JOIN (SELECT vec_id, label AS mine FROM embeddings) ON vec_id = a GROUP BY 1)"""
+
+
+@query("M7_silhouette", f"SELECT silhouette FROM ({_silhouette_sql('d')})", ctes=_PAIRS.format(eps=0), source=True)
 def _(spark, folder):
     return rounded(clustering.silhouette(_points(spark, folder), "embedding", "label", "vec_id"), ["silhouette"])
 
 
-@query("M7_silhouette_squared", source=True)
+@query("M7_silhouette_squared", _silhouette_sql("d * d"), ctes=_PAIRS.format(eps=0), source=True)
 def _(spark, folder):
     points = _points(spark, folder).select("label", array_to_vector("embedding").alias("features"))
     value = clustering.silhouette_squared(points, "features", "label")
-    return points.agg(F.count("*").alias("points")).select("points", F.lit(value).alias("silhouette"))
+    return rounded(points.agg(F.count("*").alias("points"), F.lit(value).alias("silhouette")), ["silhouette"])
 
 
 @query("M8_cluster_centres", "SELECT cluster, " + ", ".join(
@@ -173,7 +177,5 @@ def _(wh):
 
 @query("M16_row_segmentation")
 def _(wh):
-    rows = star.sales_star(wh)
-    found = clustering.segment_rows(
-        rows, ["Revenue", "ProductQuantity", "Subcategory", "Gender", "LoyaltyStatus", "Year", "Quarter"], starts=2)
+    found = clustering.segment_rows(store(star.sales_star(wh), "sales-rows"))
     return found.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("Revenue").alias("revenue"))

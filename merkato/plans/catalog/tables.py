@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from merkato import schemas
 from merkato.functions import expressions as X
 from merkato.operators import series
 from merkato.plans.catalog.registry import query
@@ -83,19 +84,20 @@ source AS (
        "s.datekey = t.datekey AND s.market = t.market)", ctes=_S8_CTES)
 def _(wh):
     metrics = series.period_metrics(series.market_rows(wh))
-    columns = ["DateKey", "MarketNameKey", "SegmentID", "Revenue", "Quantity", "ProductRange", "CreatedAt"]
+    columns = ["DateKey", "MarketNameKey", "SegmentID", "Revenue", "Quantity", "ProductRange"]
 
-    def shaped(df, segment, label, at):
+    def shaped(df, segment, label):
         return df.select(
             F.col("datekey").alias("DateKey"), F.col("market").alias("MarketNameKey"),
             F.lit(segment).alias("SegmentID"), F.col("revenue").alias("Revenue"), F.col("quantity").alias("Quantity"),
-            (F.lit(label) if label else F.col("productrange")).alias("ProductRange"),
-            F.lit(at).cast("timestamp_ntz").alias("CreatedAt")).select(*columns)
-
-    target = shaped(metrics, 0, "Low", "2000-01-01 00:00:00")
-    latest = shaped(series.latest_period(metrics), 1, None, "2001-01-01 00:00:00")
-    added = shaped(metrics.withColumn("market", F.concat("market", F.lit("'s"))), 2, "High", "2001-01-01 00:00:00")
-    return io.merge_segments(target, latest.unionByName(added), F.lit("2001-01-01 00:00:00").cast("timestamp_ntz"))
+            (F.lit(label) if label else F.col("productrange")).alias("ProductRange"))
+
+    path = new_path(wh.spark, "segment-table")
+    latest = shaped(series.latest_period(metrics), 1, None)
+    added = shaped(metrics.withColumn("market", F.concat("market", F.lit("'s"))), 2, "High")
+    for rows, at in ((shaped(metrics, 0, "Low"), "2000-01-01 00:00:00"), (latest.unionByName(added), "2001-01-01 00:00:00")):
+        io.upsert_segments(wh.spark, path, rows, F.lit(at).cast("timestamp_ntz"))
+    return io.scan(wh.spark, path, schemas.TABLES["FactMarketSegmentation"], [*columns, "CreatedAt"])
 
 
 @query("S9_csv_export", "SELECT market, CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(quantity) AS BIGINT) AS quantity "

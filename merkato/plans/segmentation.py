@@ -81,7 +81,7 @@ def run_segmentation(wh, settings: Settings | None = None, run_date: dt.date | N
         raise ValueError(f"embedding must be one of {EMBEDDINGS}")
     vectors = store(feat.hybrid_vectors(embedded, static), "vectors")
     labelled = store(cluster_vectors(vectors, settings), "labels")
-    numbered = labelled.withColumn("id", F.xxhash64("market"))
+    numbered = number_rows(labelled, [F.col("market")], "id", 0)
     score = clustering.silhouette(numbered, "vector", "cluster", "id").first()[0]
     metadata = series.latest_period(market_series, settings.grain)
     records = clustering.segment_records(

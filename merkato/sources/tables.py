@@ -179,7 +179,8 @@ def upsert_segments(spark: SparkSession, path: str, source: DataFrame, now: Colu
     """Upsert into the stored segment table, rewriting only the days the source touches.
 
     The merged days are first written to the shared folder, so the write that replaces
-    them never reads what it replaces and can be repeated after a failure.
+    them never reads what it replaces and can be repeated after a failure. Columns that
+    the source lacks are NULL.
     """
     name = "FactMarketSegmentation"
     try:
@@ -189,8 +190,8 @@ def upsert_segments(spark: SparkSession, path: str, source: DataFrame, now: Colu
             raise
         target = spark.createDataFrame([], schemas.TABLES[name])
     typed = source.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields
-          if f.name in source.columns],
+        *[(F.col(f.name) if f.name in source.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+          for f in schemas.TABLES[name].fields],
         *([sequence] if sequence else []),
     )
     days = typed.select("DateKey").distinct()
