@@ -8,6 +8,7 @@ from merkato.functions.ordering import exact_quantiles
 from merkato.operators import features as feat
 from merkato.operators import decisions, loading, quality, series, star, summaries
 from merkato.plans.catalog.registry import K, LABELS, labelled, query, r, rounded
+from merkato.session import store
 from merkato.sources import tpch
 from merkato.sources.tpch import source
 
@@ -168,7 +169,7 @@ def _(wh):
 @query("A15_category_counts", "SELECT CAST(NULL AS INTEGER) AS cluster, LoyaltyStatus AS loyaltystatus, count(*) AS count "
        "FROM labelled GROUP BY 2 UNION ALL SELECT cluster, LoyaltyStatus, count(*) FROM labelled GROUP BY 1, 2")
 def _(wh):
-    rows = labelled(wh)
+    rows = store(labelled(wh).select("cluster", "LoyaltyStatus"), "labelled")
     overall = summaries.category_counts(rows, "LoyaltyStatus").withColumn("cluster", F.lit(None).cast("int"))
     return overall.unionByName(summaries.category_counts_by_cluster(rows, "LoyaltyStatus"))
 
@@ -252,7 +253,7 @@ def _(wh):
 @query("A22_cluster_profile", f"SELECT cluster, {', '.join(_AXES[:4])}, {r('loyalty_score')} AS loyalty_score FROM profile",
        ctes=_PROFILE)
 def _(wh):
-    return rounded(summaries.cluster_profile(labelled(wh), K), ["loyalty_score"])
+    return rounded(summaries.cluster_profile(store(labelled(wh), "labelled"), K), ["loyalty_score"])
 
 
 @query("A23_periods_per_market", "SELECT market, count(*) AS periods FROM series GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")

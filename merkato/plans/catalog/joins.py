@@ -8,6 +8,7 @@ from merkato.functions import expressions as X
 from merkato.operators import features as feat
 from merkato.operators import quality, series, star, summaries
 from merkato.plans.catalog.registry import labelled, query, r, rounded
+from merkato.session import store
 from merkato.sources.tables import union_all
 from merkato.sources.tpch import source
 
@@ -100,7 +101,7 @@ def _(wh):
        "1 - (row_number() OVER (ORDER BY sum(Revenue) DESC, LoyaltyStatus) - 1) / (count(*) OVER () - 1.0) AS score "
        "FROM labelled GROUP BY 1) USING (LoyaltyStatus) GROUP BY 1")
 def _(wh):
-    rows = labelled(wh)
+    rows = store(labelled(wh).select("cluster", "LoyaltyStatus", "Revenue"), "labelled")
     scored = star.mapped_score(rows, "LoyaltyStatus", feat.category_scores(rows, "LoyaltyStatus", "Revenue"), "score")
     return rounded(scored.groupBy("cluster").agg(F.avg("score").alias("score")), ["score"])
 
