@@ -309,6 +309,20 @@ def test_quality_verdict(spark, given, small):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.4 * len(bad)
 
 
+def test_wrong_language_and_gibberish_are_rejected(spark, given, small):
+    # Ordinary texts that are labelled good, and words with ordinary letters that no language has.
+    good = given.join(spark.read.parquet(f"{small}/labels.parquet").where("quality = 1"), "doc_id").where("n_chars > 600")
+    other = {r.lang: r.text for r in good.orderBy("doc_id").collect() if not quality_expected(r.text)[-1]}
+    digests = [hashlib.sha256(str(k).encode()).digest() for k in range(120)]
+    gibberish = " ".join("".join("aeioutnrslqvz"[b % 13] for b in d[:4 + d[31] % 6]) for d in digests)
+    odd = [(-1, other["en"], "de"), (-2, other["de"], "en"), (-3, other["fr"], "de"), (-4, gibberish, "en"), (-5, gibberish, "fr"),
+           (-6, other["en"], "en"), (-7, other["de"], "de")]
+    docs = given.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    rows = {r.doc_id: r for r in quality.judge(docs).where("doc_id < 0").collect()}
+    assert not any(r.base_failed for r in rows.values())
+    assert {i for i, r in rows.items() if r.kept} == {-6, -7}
+
+
 def test_divergence(spark):
     p, q = [0.5, 0.5, 0.0], [0.25, 0.25, 0.5]
     m = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
