@@ -1,7 +1,7 @@
 """Secret scans through encoded layers.
 
 A text is scanned for the base kinds; then a worklist unwraps what the text holds: percent escapes, Unicode and
-HTML escapes, base64 tokens, and compressed bytes inside those. Every layer that comes out is scanned as well and put
+HTML escapes, base64 tokens (wrapped ones too), and compressed bytes inside those. Every layer that comes out is scanned as well and put
 on the list in its turn, until nothing new comes out. A layer that was seen before at the same place is not taken
 again, so encodings that lead back to themselves end. Each character of a layer knows the span of the original
 text it comes from, and a finding in a layer is given as that span, in code points.
@@ -9,7 +9,9 @@ text it comes from, and a finding in a layer is given as that span, in code poin
 Texts are scanned where they are read, one at a time; nothing is exchanged. A compressed layer is unwrapped whole.
 
 Defined cases: a null or empty text has no findings; repeated rows are scanned one by one; an empty table gives no
-rows; other columns are not read; text that only looks encoded stays what it is.
+rows; other columns are not read; text that only looks encoded stays what it is. A token is also read from behind each
+slash, hyphen and underscore in it. Decoded bytes that are no text are scanned as Latin-1, from each of the four
+places where a token can begin, and not unwrapped further; they are no layer.
 """
 
 from __future__ import annotations
@@ -40,7 +42,12 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(
     r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}"
     r"|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
-TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A token and what stands below it; the breaks between lines may be written as escapes.
+BREAK = r"(?:\r?\n|\\r\\n|\\n)[ \t]*"
+TOKEN = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{BREAK}[A-Za-z0-9+/_-]+)*={{0,2}}")
+BREAKS = re.compile(BREAK)
+SEPARATOR = re.compile("[/_-]")
+LEAST_TOKEN = 16
 #: Share of printable characters from which decoded bytes count as text.
 PRINTABLE = 0.9
 
@@ -146,51 +153,108 @@ def _unpacked(raw: bytes) -> bytes | None:
     return None
 
 
-def _readable(raw: bytes) -> str | None:
+def _readable(raw: bytes | memoryview) -> str | None:
     try:
-        text = raw.decode()
+        text = str(raw, "utf-8")
     except UnicodeDecodeError:
         return None
     good = sum(c.isprintable() or c in "\t\r\n" for c in text)
     return text if text and good >= PRINTABLE * len(text) else None
 
 
+def _lines(start: int, run: str) -> list[tuple[int, int]]:
+    """The spans of the lines of a run of base64 lines."""
+    edges = [start, *[start + x for m in BREAKS.finditer(run) for x in m.span()], start + len(run)]
+    return list(zip(edges[::2], edges[1::2], strict=True))
+
+
+def _groups(lines: list[tuple[int, int]]):
+    """Lines that may be one token: each alone, and a first one with lines of one width and a shorter last one.
+
+    What follows a token can look like its last lines, so groups without these are given too.
+    """
+    for line in lines:
+        if line[1] - line[0] >= LEAST_TOKEN:
+            yield [line]
+    at = 0
+    while at + 1 < len(lines):
+        width, end = lines[at + 1][1] - lines[at + 1][0], at + 2
+        while end < len(lines) and lines[end][1] - lines[end][0] == width:
+            end += 1
+        full = end
+        if end < len(lines) and lines[end][1] - lines[end][0] < width:
+            end += 1
+        if lines[at][1] - lines[at][0] >= LEAST_TOKEN:
+            for last in range(end, max(end - 3, at + 1), -1):
+                yield lines[at:last]
+        at = max(full - 1, at + 1)
+
+
 def _tokens(layer: Layer):
-    """Layers inside base64 tokens: their text, or the text of what they hold compressed."""
+    """``(layer, is text)`` inside base64 tokens: their content, or that of what they hold compressed."""
     for m in TOKEN.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
+        for lines in _groups(_lines(m.start(), m[0])):
+            yield from _decoded(layer, lines)
+
+
+def _decoded(layer: Layer, lines: list[tuple[int, int]]):
+    body = "".join(layer.text[a:b] for a, b in lines).rstrip("=").replace("-", "+").replace("_", "/")
+    place = np.concatenate([np.arange(a, b) for a, b in lines])[:len(body)]
+    end = lines[-1][1]
+    raws = []
+    for first in range(4):
+        part = body[first:]
+        part = part[:-1] if len(part) % 4 == 1 else part
         try:
-            raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+            raws.append(base64.b64decode(part + "=" * (-len(part) % 4), validate=True))
         except binascii.Error:
-            continue
-        inner, packed = raw, False
-        while (more := _unpacked(inner)) is not None:
-            inner, packed = more, True
-        text = _readable(inner)
-        if text is None:
-            continue
-        if packed:
-            low, high = np.full(len(text), m.start()), np.full(len(text), m.end())
+            raws.append(b"")
+
+    def made(text: str, raw: bytes | None, start: int) -> Layer:
+        if raw is None:
+            low, high = np.full(len(text), place[start]), np.full(len(text), end)
         else:
             ends = np.cumsum(_text_with_bytes(raw)[1])
             starts = np.concatenate(([0], ends[:-1]))
-            low = m.start() + starts * 8 // 6
-            high = np.minimum(m.start() + -(-ends * 8 // 6), m.end())
+            low = place[start + starts * 8 // 6]
+            high = place[np.minimum(start - (-ends * 8 // 6), len(body)) - 1] + 1
         if layer.low is not None:
             low, high = layer.low[low], layer.high[high - 1]
-        yield Layer(text, low.astype(np.int64), high.astype(np.int64))
-
+        return Layer(text, low.astype(np.int64), high.astype(np.int64))
 
-def unwrapped(layer: Layer) -> list[Layer]:
-    """What one step of decoding makes of a layer."""
+    source = "".join(layer.text[a:b] for a, b in lines)
+    starts = [0, *[x.end() for x in SEPARATOR.finditer(source) if x.end() <= len(body) - 4]]
+    read: set[int] = set()  # a later start in step with a readable one gives a part of its text
+    for start in starts:
+        if start % 4 in read:
+            continue
+        raw = memoryview(raws[start % 4])[start // 4 * 3:]
+        if bytes(raw[:2]) in (b"\x1f\x8b", b"BZ", b"\x28\xb5") or bytes(raw[:1]) == b"\x78":
+            inner, packed = bytes(raw), False
+            while (more := _unpacked(inner)) is not None:
+                inner, packed = more, True
+            if packed:
+                text = _readable(inner)
+                yield made(inner.decode("latin-1") if text is None else text, None, start), text is not None
+                continue
+        if (text := _readable(raw)) is not None:
+            read.add(start % 4)
+            yield made(text, bytes(raw), start), True
+    for first in set(range(4)) - read:
+        text = raws[first].decode("latin-1")
+        if findings(text):
+            # One character a byte, whatever the bytes are.
+            yield made(text, bytes(len(text)), first), False
+
+
+def unwrapped(layer: Layer) -> list[tuple[Layer, bool]]:
+    """What one step of decoding makes of a layer, and whether that is text to go on with."""
     made = []
     if "%" in layer.text:
         made.append(_replaced(layer, PERCENT, _percent))
     if "\\" in layer.text or "&#" in layer.text:
         made.append(_replaced(layer, ESCAPE, _escape))
-    return [x for x in made if x is not None] + list(_tokens(layer))
+    return [(x, True) for x in made if x is not None] + list(_tokens(layer))
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -199,11 +263,12 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     base = findings(first.text)
     every, todo, seen = set(base), [first], {first.key()} if first.text else set()
     while todo:
-        for layer in unwrapped(todo.pop()):
-            if (key := layer.key()) in seen:
-                continue
-            seen.add(key)
-            todo.append(layer)
+        for layer, is_text in unwrapped(todo.pop()):
+            if is_text:
+                if (key := layer.key()) in seen:
+                    continue
+                seen.add(key)
+                todo.append(layer)
             for start, kind, end in findings(layer.text):
                 low, high = layer.span(start, end)
                 every.add((low, kind, high))
