@@ -197,11 +197,16 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``first_of_each`` by fingerprints."""
+    return first_of_each(docs, near_duplicates(docs, **options))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents whose id is their component's smallest, with all their columns; one row of an id that repeats.
 
     Rows with a null id are told apart by nothing else, so a component of only such rows keeps one.
     """
-    found = store(near_duplicates(docs, **options), "near-duplicates")
+    found = store(found.select("doc_id", "component_id"), "near-duplicates")
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
     left = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
     repeated = store(kept.where("count > 1").select(F.col("doc_id").alias("_again")), "repeated-ids")
