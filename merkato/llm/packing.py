@@ -37,7 +37,8 @@ class WordIds:
     """Ids of white-space separated words, each tokenized once as long as it is remembered.
 
     The tokenizer never joins characters across white space, so a text's ids are its words' ids. A
-    text of Latin-1 characters is lower-cased first, which the tokenizer would do to each of them alike.
+    text of Latin-1 characters is lower-cased first, which the tokenizer would do to each of them alike, unless that
+    makes a marker of the tokenizer.
     """
 
     def __init__(self, file: str, remembered: int):
@@ -45,7 +46,8 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
+        # Markers such as <|endoftext|> are ids of their own, matched before letters are lower-cased.
+        self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = frozenset(i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>"))
         # For words of Latin-1 letters, already in lower case: one pre-token each, nothing to normalize.
         self.quick = Tokenizer(self.tokenizer.model)
@@ -59,7 +61,9 @@ class WordIds:
         """The ids as little-endian unsigned 32-bit numbers."""
         try:
             text.encode("latin-1")
-            text = text.lower()
+            lower = text.lower()
+            if not any(m in lower for m in self.markers):
+                text = lower
         except UnicodeEncodeError:
             pass
         words = text.encode().split()

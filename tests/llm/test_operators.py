@@ -219,6 +219,16 @@ def test_word_ids_are_the_tokenizers():
         assert np.frombuffer(ids.of(text), "<u4").tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_markers_are_those_of_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path(packing.VOCABULARY)
+    ids, plain = packing.WordIds(file, 1000), Tokenizer.from_file(file)
+    for text in ["a <|endoftext|> b", "A<|ENDOFTEXT|>b a<|endoftext|>b", "x <|startoftext|>, É<|endoftext|>.", "日本<|endoftext|>語 A", "<|endoftext|>"]:
+        assert np.frombuffer(ids.of(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids.of("a <|endoftext|> b"), "<u4").tolist() == [320, 49407, 321]
+
+
 def test_packing_places_every_id_once(docs, given):
     ids = packing.WordIds(public_tokenizers.path(packing.VOCABULARY), 100_000)
     for df in (docs, given):
