@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from merkato.llm import exact_dedup, mixing, near_copies as near, packing, quality, simhash  # noqa: E402
+from merkato.llm import exact_dedup, mixing, packing, quality, simhash  # noqa: E402
 from merkato.session import new_path, tune  # noqa: E402
 
 
@@ -30,9 +30,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles (similarity 0.8 or more), the one with the smallest id stays."""
+    """Of documents linked by fingerprints of four-word shingles at most 4 bits apart, the one with the smallest id stays."""
     tune(spark)
-    return simhash.first_of_each(docs, near.near_copies(docs))
+    return simhash.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
