@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from merkato.llm import chat_format, exact_dedup, mixing, packing, quality, secret_scan, simhash, suffix_dedup, token_counts, toxicity
+from merkato.llm import (
+    chat_format, exact_dedup, fill_middle, importance, language_id, mixing, packing, quality, secret_scan, simhash, suffix_dedup,
+    token_counts, toxicity)
 from merkato.llm.common import read
 from merkato.session import tune
 
@@ -121,3 +124,43 @@ FROM placed p JOIN goal g ON p.source IS NOT DISTINCT FROM g.source
 @query("op10_source_mix", MIX_SQL)
 def _mix(spark, folder):
     return mixing.mix(read(spark, folder, "documents"))
+
+
+@query("op11_language_id")
+def _language(spark, folder):
+    docs = read(spark, folder, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+@query("op12_importance_resampling")
+def _importance(spark, folder):
+    return importance.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+FILL_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+hashed AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+parts AS (
+  SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op13_fill_in_middle", FILL_SQL)
+def _fill(spark, folder):
+    made = fill_middle.fill_in_middle(read(spark, folder, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))

@@ -32,6 +32,17 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it in any case."""
+    taken, made = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        made.append(name)
+    return made
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, null counting as empty."""
     return F.coalesce(F.col(column), F.lit(""))

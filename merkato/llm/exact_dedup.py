@@ -10,7 +10,10 @@ a text that an earlier batch has put into the index keeps that batch's row.
 
 Defined cases: a null text is the empty text; empty and blank texts are one group; repeated rows
 with one id are members of one group, and where even the ids tie every such row carries the same
-answer; an empty batch leaves the index as it is and gives no rows; other columns are not read.
+answer; a null id comes after all others, so that a group of only null ids has a null ``keep_id`` and no
+row marked as kept (``keep_first`` keeps one row of it); an empty batch leaves the index as it is and
+gives no rows; a very long text is hashed whole and leaves its row before any exchange; other columns
+are not read, and ``keep_first`` carries them along under any name.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merkato.llm.common import store, whole_text, without_blanks
+from merkato.llm.common import store, unused, whole_text, without_blanks
 from merkato.session import new_path
 
 
@@ -56,7 +59,7 @@ class DigestIndex:
     def admit(self, rows: DataFrame) -> DataFrame:
         """Append the new digests of ``rows`` (as from ``digests``); returns the index afterwards."""
         best = rows.groupBy("digest").agg(
-            F.min_by("id", F.struct(-F.col("size"), F.col("id"))).alias("keep_id"), F.max("size").alias("size"),
+            F.min_by("id", F.struct(-F.col("size"), F.col("id").isNull(), F.col("id"))).alias("keep_id"), F.max("size").alias("size"),
             F.count("*").alias("copies"))
         new = best.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         # Written apart first: a table can't be appended to while it is being read.
@@ -89,18 +92,19 @@ def keep_first(docs: DataFrame) -> DataFrame:
     found = store(exact_dedup(docs), "exact-dedup")
     ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
     kept = store(ids.where("kept AND rows = 1").select("doc_id"), "kept-ids")
-    again = store(ids.where("rows > 1").select(F.col("doc_id").alias("_again")), "repeated-ids")
+    repeated, of_id, of_digest, digest_of, chosen = unused(docs, "repeated", "of_id", "of_digest", "digest_of", "chosen")
+    again = store(ids.where("rows > 1").select(F.col("doc_id").alias(repeated)), "repeated-ids")
     single = docs.join(kept, "doc_id", "left_semi")
     nulls = found.where("doc_id IS NULL").limit(1).count()
     if again.isEmpty() and not nulls:
         return single
     # Rows that share their id, or have none, are told apart by their digest; a kept digest gives one row.
     wanted = found.where("kept OR keep_id IS NULL").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).distinct()
-    shared = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+        F.col("doc_id").alias(of_id), F.col("text_sha256").alias(of_digest)).distinct()
+    shared = docs.join(again, F.col("doc_id") == F.col(repeated), "left_semi").unionByName(docs.where("doc_id IS NULL"))
     digest = F.sha2(without_blanks(whole_text()).cast("binary"), 256)
-    longest = shared.withColumn("_digest_of", digest).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest_of") == F.col("_digest")), "left_semi")
-    one = longest.groupBy("doc_id", "_digest_of").agg(F.max_by(
-        F.struct(*docs.columns), F.char_length(whole_text())).alias("_row"))
-    return single.unionByName(one.select("_row.*"))
+    longest = shared.withColumn(digest_of, digest).join(
+        wanted, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(digest_of) == F.col(of_digest)), "left_semi")
+    one = longest.groupBy("doc_id", digest_of).agg(F.max_by(
+        F.struct(*docs.columns), F.char_length(whole_text())).alias(chosen))
+    return single.unionByName(one.select(f"{chosen}.*"))

@@ -11,7 +11,8 @@ range exchange that cuts it into slices.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; sizes
 of 0 take nothing; repeated rows (even with one id) are mixed as rows of their own; an empty table
-gives an empty result; other columns are not read.
+gives an empty result; a null id is an id of its own; a very long text is counted whole where it is read; other
+columns are not read, and ``mixed_documents`` carries them along under any name.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merkato.functions.ordering import number_rows
-from merkato.llm.common import BLANK, store, whole_text
+from merkato.llm.common import BLANK, store, unused, whole_text
 
 #: Fixed values of the mix: weights by place of the source, share of all words, most epochs.
 WEIGHTS, SHARE, MAX_EPOCHS = (5, 2, 1), 1.5, 2
@@ -103,9 +104,11 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it was taken, with the columns of ``docs``."""
+    of_id, of_source, of_size, repeats, repeat = unused(docs, "of_id", "of_source", "of_size", "repeats", "repeat")
     taken = repetitions(_sized(docs), **options).where("repeats > 0").select(
-        *[F.col(c).alias(f"_mix_{c}") for c in KEY], F.col("repeats").alias("_mix_repeats"))
-    same = [F.col(c).eqNullSafe(F.col(f"_mix_{c}")) for c in ("doc_id", "source")]
-    same.append(word_count(whole_text()) == F.col("_mix_size"))
-    joined = docs.join(taken, same)
-    return joined.select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_repeats"))), *docs.columns).select(*docs.columns)
+        F.col("doc_id").alias(of_id), F.col("source").alias(of_source), F.col("size").alias(of_size),
+        F.col("repeats").alias(repeats))
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(of_id)) & F.col("source").eqNullSafe(F.col(of_source))
+                       & (word_count(whole_text()) == F.col(of_size)))
+    return joined.select(
+        *docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(repeats))).alias(repeat)).select(*docs.columns)

@@ -11,7 +11,9 @@ The references are one row per language with a fixed number of words; that row c
 before they are broadcast. Words are counted per task before they are exchanged.
 
 Defined cases: a null text is empty and fails the base rule; a null language is a language of its own;
-other columns are not read; repeated rows are judged one by one; an empty table gives no rows.
+repeated rows are judged one by one; a null id is an id of its own; a very long text is judged whole,
+with its words as one array; an empty table gives no rows; other columns are not read, and
+``good_documents`` carries them along under any name.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merkato.llm.common import BLANK, store, whole_text, without_blanks, words_of
+from merkato.llm.common import BLANK, store, unused, whole_text, without_blanks, words_of
 
 #: Fixed values of the base rules.
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
@@ -193,10 +195,10 @@ def good_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns.
 
     A document is found again by its id and a hash of its text, so that rows which share an id but not
-    a text are judged apart.
+    a text are judged apart. Columns of any other name are carried along.
     """
-    key = F.xxhash64(whole_text())
-    verdicts = judge(docs.withColumn("_text_key", key), keep=["_text_key", "lang"]).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("_text_key").alias("_key"), F.col("lang").alias("_lang")).distinct()
-    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
-                     & F.col("lang").eqNullSafe(F.col("_lang")), "left_semi")
+    key, (of_id, of_text, of_lang) = F.xxhash64(whole_text()), unused(docs, "of_id", "of_text", "of_lang")
+    verdicts = judge(docs.select("doc_id", "text", "lang", key.alias(of_text)), keep=[of_text, "lang"]).where("kept").select(
+        F.col("doc_id").alias(of_id), of_text, F.col("lang").alias(of_lang)).distinct()
+    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col(of_id)) & (key == F.col(of_text))
+                     & F.col("lang").eqNullSafe(F.col(of_lang)), "left_semi")

@@ -14,7 +14,8 @@ same for any ``cold``. Components come from alternating large-star and small-sta
 
 Defined cases: a null, empty or blank text has fingerprint zero and links like any other; a text of
 fewer words than a shingle is one shingle; repeated rows are rows of one fingerprint; a null id
-gets the component of its fingerprint; an empty table gives no rows; other columns are not read.
+gets the component of its fingerprint; an empty table gives no rows; other columns are not read, and
+``one_of_each`` carries them along under any name.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merkato.llm.common import ship, store
+from merkato.llm.common import ship, store, unused
 
 #: Fixed values of the contract: bits that may differ, words in a shingle, hash seed.
 DISTANCE, SHINGLE, SEED = 4, 4, 42
@@ -206,13 +207,14 @@ def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     Rows with a null id are told apart by nothing else, so a component of only such rows keeps one.
     """
+    of_kept, of_repeated = unused(docs, "of_kept", "of_repeated")
     found = store(found.select("doc_id", "component_id"), "near-duplicates")
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    left = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = store(kept.where("count > 1").select(F.col("doc_id").alias("_again")), "repeated-ids")
+    left = docs.join(kept.select(F.col("doc_id").alias(of_kept)), F.col("doc_id").eqNullSafe(F.col(of_kept)), "left_semi")
+    repeated = store(kept.where("count > 1").select(F.col("doc_id").alias(of_repeated)), "repeated-ids")
     if repeated.isEmpty():
         return left
-    again = F.col("doc_id").eqNullSafe(F.col("_again"))
+    again = F.col("doc_id").eqNullSafe(F.col(of_repeated))
     return left.join(repeated, again, "left_anti").unionByName(
         left.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
 
