@@ -6,11 +6,16 @@ on the list in its turn, until nothing new comes out. A layer that was seen befo
 again, so encodings that lead back to themselves end. Each character of a layer knows the span of the original
 text it comes from, and a finding in a layer is given as that span, in code points.
 
-Texts are scanned where they are read, one at a time; nothing is exchanged. A compressed layer is unwrapped whole.
+Texts are scanned where they are read, one at a time; nothing is exchanged. Compressed bytes are unpacked as a stream,
+all members of it, and compressed bytes inside them likewise; what comes out is scanned in pieces of ``PIECE`` bytes that
+overlap by ``OVERLAP``, and every finding in it has the span of the whole token. So however much a token unpacks to, a
+few pieces are held at a time. A stream that unpacks to what was unpacked before ends there; of a stream that breaks off,
+what came before is scanned.
 
 Defined cases: a null or empty text has no findings; repeated rows are scanned one by one; an empty table gives no
-rows; other columns are not read; text that only looks encoded stays what it is. A token is also read from behind each
-slash, hyphen and underscore in it. Decoded bytes that are no text are scanned as Latin-1, from each of the four
+rows; a null id is kept; other columns are not read; text that only looks encoded stays what it is; a very long text needs
+some 40 bytes for each character of a layer that was not compressed; a token inside compressed bytes that is longer than
+``OVERLAP`` may be read in two parts. A token is also read from behind each slash, hyphen and underscore in it. Decoded bytes that are no text are scanned as Latin-1, from each of the four
 places where a token can begin, and not unwrapped further; they are no layer.
 """
 
@@ -19,12 +24,15 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import gzip
 import hashlib
+import io
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +58,8 @@ SEPARATOR = re.compile("[/_-]")
 LEAST_TOKEN = 16
 #: Share of printable characters from which decoded bytes count as text.
 PRINTABLE = 0.9
+#: Unpacked bytes that are scanned in one go, by how much such pieces overlap, and bytes that tell streams apart.
+PIECE, OVERLAP, HEAD = 4 << 20, 64 << 10, 64 << 10
 
 
 def findings(text: str) -> list[tuple[int, int, int]]:
@@ -64,7 +74,10 @@ def findings(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """Decoded text; ``low[i]`` and ``high[i]`` bound what character ``i`` comes from (None: the original itself)."""
+    """Decoded text; ``low[i]`` and ``high[i]`` bound what character ``i`` comes from.
+
+    None stands for the original itself, a number for all characters alike.
+    """
 
     __slots__ = ("text", "low", "high")
 
@@ -72,10 +85,15 @@ class Layer:
         self.text, self.low, self.high = text, low, high
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        return (start, end) if self.low is None else (int(self.low[start]), int(self.high[end - 1]))
+        if self.low is None:
+            return start, end
+        return (self.low, self.high) if isinstance(self.low, int) else (int(self.low[start]), int(self.high[end - 1]))
 
     def key(self) -> bytes:
-        place = b"" if self.low is None else self.low.tobytes() + self.high.tobytes()
+        if self.low is None or isinstance(self.low, int):
+            place = f"{self.low} {self.high}".encode()
+        else:
+            place = self.low.tobytes() + self.high.tobytes()
         return hashlib.blake2b(self.text.encode("utf-8", "surrogatepass") + b"\0" + place, digest_size=16).digest()
 
 
@@ -98,13 +116,16 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
             continue
         text, widths = made
         parts += [layer.text[at:m.start()], text]
-        ends = m.start() + np.cumsum(widths)
-        low += [np.arange(at, m.start()), ends - widths]
-        high += [np.arange(at, m.start()) + 1, ends]
+        if not isinstance(layer.low, int):
+            ends = m.start() + np.cumsum(widths)
+            low += [np.arange(at, m.start()), ends - widths]
+            high += [np.arange(at, m.start()) + 1, ends]
         at = m.end()
     if not parts:
         return None
     parts.append(layer.text[at:])
+    if isinstance(layer.low, int):
+        return Layer("".join(parts), layer.low, layer.high)
     low.append(np.arange(at, len(layer.text)))
     high.append(low[-1] + 1)
     low, high = np.concatenate(low).astype(np.int64), np.concatenate(high).astype(np.int64)
@@ -131,26 +152,124 @@ def _escape(run: str):
     return chr(code), np.array([len(run)])
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """The content of gzip, zlib, bzip2 or zstandard bytes, None for others."""
+class _Steps(io.RawIOBase):
+    """Reads another reader one step at a time, so that what comes before an error is not lost with it."""
+
+    def __init__(self, step):
+        self.step = step
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        made = self.step(len(buffer))
+        buffer[:len(made)] = made
+        return len(made)
+
+
+class _Zlib(io.RawIOBase):
+    """Reads what a zlib stream holds."""
+
+    def __init__(self, source: io.BufferedReader):
+        self.source, self.stream, self.left = source, zlib.decompressobj(), b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.stream.eof:
+            self.left = self.left or self.source.read1(HEAD)
+            if not self.left:
+                return 0
+            made = self.stream.decompress(self.left, len(buffer))
+            self.left = self.stream.unconsumed_tail
+            if made:
+                buffer[:len(made)] = made
+                return len(made)
+        return 0
+
+
+def _opened(source: io.BufferedReader) -> io.BufferedReader | None:
+    """A reader of what a gzip, zlib, bzip2 or zstandard stream holds, None for other bytes.
+
+    Text can begin like a stream, so the first bytes are tried apart.
+    """
+    head = source.peek(HEAD)
+    reader = _by_head(io.BufferedReader(io.BytesIO(head)), head)
+    if reader is None:
+        return None
     try:
-        if raw[:2] == b"\x1f\x8b":
-            return zlib.decompress(raw, 31)
-        if raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2]) % 31 == 0:
-            return zlib.decompress(raw)
-        if raw[:3] == b"BZh":
-            return bz2.decompress(raw)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            with zstandard.ZstdDecompressor().stream_reader(raw) as stream:
-                return stream.read()
-    except (zlib.error, OSError, ValueError, EOFError):
+        reader.read(1)
+    except EOFError:
+        pass  # there is more of it than the head
+    return _by_head(source, head)
+
+
+def _by_head(source: io.BufferedReader, head: bytes) -> io.BufferedReader | None:
+    if head[:2] == b"\x1f\x8b":
+        inner = _Steps(gzip.GzipFile(fileobj=source).read1)
+    elif head[:1] == b"\x78" and len(head) > 1 and int.from_bytes(head[:2]) % 31 == 0:
+        inner = _Zlib(source)
+    elif head[:3] == b"BZh":
+        inner = _Steps(bz2.BZ2File(source).read1)
+    elif head[:4] == b"\x28\xb5\x2f\xfd":
+        inner = zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True)
+    else:
         return None
-    except Exception as error:  # zstandard's own error class
-        if type(error).__name__ != "ZstdError":
-            raise
-    return None
+    return io.BufferedReader(inner, HEAD)
+
+
+#: What the readers raise for bytes that are no stream of their kind, or end too soon.
+_NO_STREAM = (zlib.error, OSError, ValueError, EOFError, zstandard.ZstdError)
+
+
+def _content(raw: bytes):
+    """What compressed bytes hold, in overlapping pieces; nothing for other bytes."""
+    reader, seen = io.BufferedReader(io.BytesIO(raw), HEAD), set()
+    try:
+        while True:
+            head = hashlib.blake2b(reader.peek(HEAD), digest_size=16).digest()
+            if head in seen:  # the stream leads back to itself
+                return
+            seen.add(head)
+            try:
+                inner = _opened(reader)
+            except _NO_STREAM:
+                inner = None
+            if inner is None:
+                break
+            reader = inner
+    except _NO_STREAM:
+        return
+    if len(seen) == 1:
+        return
+    held, ended = b"", False
+    while not ended:
+        parts = [held]
+        size = len(held)
+        while size < PIECE:
+            try:
+                part = reader.read1(HEAD)
+            except _NO_STREAM:
+                part = b""
+            if not part:
+                ended = True
+                break
+            parts.append(part)
+            size += len(part)
+        piece = b"".join(parts)
+        if len(piece) > len(held):
+            yield piece
+        held = piece[-OVERLAP:]
+
+
+def _piece_text(piece: bytes) -> tuple[str, bool]:
+    """A piece as text, and whether it is any; a character cut off at either end is left out."""
+    start = next((k for k in range(min(4, len(piece))) if piece[k] & 0xC0 != 0x80), 0)
+    for end in range(len(piece), max(len(piece) - 4, start), -1):
+        if (text := _readable(memoryview(piece)[start:end])) is not None:
+            return text, True
+    return piece.decode("latin-1"), False
 
 
 def _readable(raw: bytes | memoryview) -> str | None:
@@ -158,7 +277,7 @@ def _readable(raw: bytes | memoryview) -> str | None:
         text = str(raw, "utf-8")
     except UnicodeDecodeError:
         return None
-    good = sum(c.isprintable() or c in "\t\r\n" for c in text)
+    good = sum(map(str.isprintable, text)) + text.count("\t") + text.count("\r") + text.count("\n")
     return text if text and good >= PRINTABLE * len(text) else None
 
 
@@ -210,14 +329,17 @@ def _decoded(layer: Layer, lines: list[tuple[int, int]]):
         except binascii.Error:
             raws.append(b"")
 
-    def made(text: str, raw: bytes | None, start: int) -> Layer:
-        if raw is None:
-            low, high = np.full(len(text), place[start]), np.full(len(text), end)
-        else:
-            ends = np.cumsum(_text_with_bytes(raw)[1])
-            starts = np.concatenate(([0], ends[:-1]))
-            low = place[start + starts * 8 // 6]
-            high = place[np.minimum(start - (-ends * 8 // 6), len(body)) - 1] + 1
+    def whole(text: str, start: int) -> Layer:
+        """A layer of which every character comes from the whole token."""
+        return Layer(text, *layer.span(int(place[start]), end))
+
+    def made(text: str, raw: bytes, start: int) -> Layer:
+        if isinstance(layer.low, int):
+            return Layer(text, layer.low, layer.high)
+        ends = np.cumsum(_text_with_bytes(raw)[1])
+        starts = np.concatenate(([0], ends[:-1]))
+        low = place[start + starts * 8 // 6]
+        high = place[np.minimum(start - (-ends * 8 // 6), len(body)) - 1] + 1
         if layer.low is not None:
             low, high = layer.low[low], layer.high[high - 1]
         return Layer(text, low.astype(np.int64), high.astype(np.int64))
@@ -230,12 +352,12 @@ def _decoded(layer: Layer, lines: list[tuple[int, int]]):
             continue
         raw = memoryview(raws[start % 4])[start // 4 * 3:]
         if bytes(raw[:2]) in (b"\x1f\x8b", b"BZ", b"\x28\xb5") or bytes(raw[:1]) == b"\x78":
-            inner, packed = bytes(raw), False
-            while (more := _unpacked(inner)) is not None:
-                inner, packed = more, True
+            packed = False
+            for piece in _content(bytes(raw)):
+                packed = True
+                text, is_text = _piece_text(piece)
+                yield whole(text, start), is_text
             if packed:
-                text = _readable(inner)
-                yield made(inner.decode("latin-1") if text is None else text, None, start), text is not None
                 continue
         if (text := _readable(raw)) is not None:
             read.add(start % 4)
@@ -247,14 +369,13 @@ def _decoded(layer: Layer, lines: list[tuple[int, int]]):
             yield made(text, bytes(len(text)), first), False
 
 
-def unwrapped(layer: Layer) -> list[tuple[Layer, bool]]:
-    """What one step of decoding makes of a layer, and whether that is text to go on with."""
-    made = []
-    if "%" in layer.text:
-        made.append(_replaced(layer, PERCENT, _percent))
-    if "\\" in layer.text or "&#" in layer.text:
-        made.append(_replaced(layer, ESCAPE, _escape))
-    return [(x, True) for x in made if x is not None] + list(_tokens(layer))
+def unwrapped(layer: Layer):
+    """What one step of decoding makes of a layer, one after the other, and whether that is text to go on with."""
+    if "%" in layer.text and (made := _replaced(layer, PERCENT, _percent)) is not None:
+        yield made, True
+    if ("\\" in layer.text or "&#" in layer.text) and (made := _replaced(layer, ESCAPE, _escape)) is not None:
+        yield made, True
+    yield from _tokens(layer)
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
