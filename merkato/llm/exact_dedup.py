@@ -94,7 +94,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     kept = store(ids.where("kept AND rows = 1").select("doc_id"), "kept-ids")
     repeated, of_id, of_digest, digest_of, chosen = unused(docs, "repeated", "of_id", "of_digest", "digest_of", "chosen")
     again = store(ids.where("rows > 1").select(F.col("doc_id").alias(repeated)), "repeated-ids")
-    single = docs.join(kept, "doc_id", "left_semi")
+    # The ids grow with the documents, so they are merged at any size and never broadcast.
+    single = docs.join(kept.hint("merge"), "doc_id", "left_semi")
     nulls = found.where("doc_id IS NULL").limit(1).count()
     if again.isEmpty() and not nulls:
         return single

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merkato.llm.common import BLANK, store, unused, whole_text, without_blanks, words_of
+from merkato.llm.common import BLANK, store, whole_text, without_blanks, words_of
 
 #: Fixed values of the base rules.
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
@@ -192,13 +192,9 @@ def judge(docs: DataFrame, keep: list[str] = (), class_bound: float = MOST_CLASS
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns.
+    """The documents that pass, with all their columns, whatever the names of these.
 
-    A document is found again by its id and a hash of its text, so that rows which share an id but not
-    a text are judged apart. Columns of any other name are carried along.
+    Whole rows go along into the written measures, so that no document is exchanged to meet its verdict.
     """
-    key, (of_id, of_text, of_lang) = F.xxhash64(whole_text()), unused(docs, "of_id", "of_text", "of_lang")
-    verdicts = judge(docs.select("doc_id", "text", "lang", key.alias(of_text)), keep=[of_text, "lang"]).where("kept").select(
-        F.col("doc_id").alias(of_id), of_text, F.col("lang").alias(of_lang)).distinct()
-    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col(of_id)) & (key == F.col(of_text))
-                     & F.col("lang").eqNullSafe(F.col(of_lang)), "left_semi")
+    rows = docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"))
+    return judge(rows, keep=["whole_row"]).where("kept").select("whole_row.*")

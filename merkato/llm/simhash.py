@@ -210,7 +210,8 @@ def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     of_kept, of_repeated = unused(docs, "of_kept", "of_repeated")
     found = store(found.select("doc_id", "component_id"), "near-duplicates")
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    left = docs.join(kept.select(F.col("doc_id").alias(of_kept)), F.col("doc_id").eqNullSafe(F.col(of_kept)), "left_semi")
+    # The ids grow with the documents, so they are merged at any size and never broadcast.
+    left = docs.join(kept.select(F.col("doc_id").alias(of_kept)).hint("merge"), F.col("doc_id").eqNullSafe(F.col(of_kept)), "left_semi")
     repeated = store(kept.where("count > 1").select(F.col("doc_id").alias(of_repeated)), "repeated-ids")
     if repeated.isEmpty():
         return left
