@@ -20,7 +20,8 @@ _LOW_33_BITS = (1 << 33) - 1
 ROWS_PER_TASK = 1_000_000
 
 
-def _sliced(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+def in_slices(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """``df`` written in range slices of an order, with ``_slice`` and, rising within it, ``_position``."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return store(
         ranged.withColumn(_SLICE, F.spark_partition_id()).withColumn(
@@ -43,7 +44,7 @@ def number_rows(df: DataFrame, order: list[Column], name: str, start: int = 1) -
 
     The order should tell rows apart; where it may not, use ``number_copies``.
     """
-    rows = _sliced(df, order, "numbered")
+    rows = in_slices(df, order, "numbered")
     return (
         rows.join(F.broadcast(_offsets(rows, F.count("*"))), _SLICE)
         .withColumn(name, (F.col("_before") + F.col(_POSITION) + start).cast("long"))
@@ -61,7 +62,7 @@ def number_copies(df: DataFrame, order: list[str], name: str, start: int = 1) ->
     Copies are counted before the sort, which could not split them, and written out
     afterwards. A row with very many copies is written by several tasks.
     """
-    rows = _sliced(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), [F.col(c) for c in order], "numbered")
+    rows = in_slices(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), [F.col(c) for c in order], "numbered")
     upto = F.sum("_copies").over(Window.partitionBy(_SLICE).orderBy(_POSITION))
     placed = rows.withColumn("_upto", upto).join(F.broadcast(_offsets(rows, F.sum("_copies"))), _SLICE).withColumn(
         "_first", F.col("_before") + F.col("_upto") - F.col("_copies") + start)
@@ -81,6 +82,24 @@ def number_copies(df: DataFrame, order: list[str], name: str, start: int = 1) ->
     return few.unionByName(many)
 
 
+def number_within(df: DataFrame, group: str, order: list[str], name: str, start: int = 1) -> DataFrame:
+    """Dense numbers in order of ``group`` and, within it, ``order``; rows that agree in all of it may be exact copies.
+
+    Only the groups' sizes are put in order, by ranges. The rows are numbered within their group and add its start, so
+    rows that are already partitioned by group are not exchanged. With a group beyond one task's rows, ``number_copies`` is used.
+    """
+    sizes = store(df.groupBy(group).agg(F.count("*").alias("_size")), "group-sizes")
+    if (sizes.agg(F.max("_size")).first()[0] or 0) > ROWS_PER_TASK:
+        return number_copies(df, [group, *order], name, start)
+    rows = in_slices(sizes, [F.col(group)], "group-starts")
+    upto = F.sum("_size").over(Window.partitionBy(_SLICE).orderBy(_POSITION))
+    starts = rows.withColumn("_upto", upto).join(F.broadcast(_offsets(rows, F.sum("_size"))), _SLICE).select(
+        group, (F.col("_before") + F.col("_upto") - F.col("_size") + (start - 1)).alias("_first"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return df.withColumn("_place", place).join(starts, group).select(
+        *df.columns, (F.col("_first") + F.col("_place")).cast("long").alias(name))
+
+
 def largest_group(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
@@ -99,7 +118,7 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], columns: list[st
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[fn(c).over(window).alias(prefix + c) for c in columns])
 
-    rows = _sliced(df, [F.col(c) for c in keys + order], "neighbours")
+    rows = in_slices(df, [F.col(c) for c in keys + order], "neighbours")
     packed = F.struct(*[F.col(c) for c in columns])
     rank = F.struct(*[F.col(c) for c in order])
     edge = F.max_by(packed, rank) if step < 0 else F.min_by(packed, rank)
@@ -127,7 +146,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         [], columns, "column_name", "value"
     ).where("value IS NOT NULL AND NOT isnan(value)")
     counts = values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    rows = _sliced(counts, [F.col("column_name"), F.col("value")], "quantiles")
+    rows = in_slices(counts, [F.col("column_name"), F.col("value")], "quantiles")
     across = Window.partitionBy("column_name").orderBy(_SLICE)
     slices = rows.groupBy("column_name", _SLICE).agg(F.sum("n").alias("m")).select(
         "column_name", _SLICE,

@@ -3,90 +3,90 @@
 from __future__ import annotations
 
 import datetime as dt
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merkato.functions import expressions as X
 from merkato.operators import blocks as B
+from merkato.operators import kmeans
 from merkato.operators import features as feat
 from merkato.session import store
 
-# Seed, number of starts, and the default numbers of clusters.
-SEED, STARTS = 42, 10
+# The default numbers of clusters.
 DEFAULT_ROW_CLUSTERS, DEFAULT_MARKET_CLUSTERS = 6, 5
 
 
-def kmeans_best(df: DataFrame, vector: str, k: int, seed: int = SEED, starts: int = STARTS,
-                parallelism: int = 4) -> KMeansModel:
-    """The cheapest of several K-Means fits with consecutive seeds, some of them at a time."""
-    data = df.select(F.col(vector).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fit = inheritable_thread_target(df.sparkSession)(
-            lambda i: KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(data))
-        data.count()
-        with ThreadPool(parallelism) as pool:
-            models = pool.map(fit, range(starts))
-        return min(models, key=lambda m: m.summary.trainingCost)
-    finally:
-        data.unpersist()
+def kmeans_labels(df: DataFrame, vector: str, k: int, seed: int = kmeans.SEED, starts: int = kmeans.STARTS) -> DataFrame:
+    """``df`` with ``cluster`` from the cheapest of several K-Means fits of an array column."""
+    return kmeans.assign(df, vector, kmeans.fit(df, vector, k, seed, starts))
 
 
-def label_order(model: KMeansModel) -> list[int]:
-    """New label of each model label: larger clusters first, then by centre."""
-    sizes, centres = model.summary.clusterSizes, model.clusterCenters()
-    ranked = sorted(range(len(sizes)), key=lambda i: (-sizes[i], tuple(centres[i])))
-    order = [0] * len(ranked)
-    for new, old in enumerate(ranked):
-        order[old] = new
-    return order
-
-
-def kmeans_labels(df: DataFrame, vector: str, k: int, seed: int = SEED, starts: int = STARTS) -> DataFrame:
-    """``df`` with ``cluster`` from the best K-Means fit of an ML vector column."""
-    model = kmeans_best(df, vector, k, seed, starts)
-    order = F.array(*[F.lit(i) for i in label_order(model)])
-    scored = model.setFeaturesCol(vector).setPredictionCol("_label").transform(df)
-    return scored.select(*df.columns, order[F.col("_label")].alias("cluster"))
+# ------------------------------------------------------------------ silhouette
 
 
-# ------------------------------------------------------------------ silhouette
+# Blocks that stay in a task while all others pass by; labels whose sums are held at once.
+STAYING, HELD_LABELS = 4, 512
 
 
 def _distance_sums(batches):
-    for same, a, b in B.block_pairs(batches):
-        distance = np.sqrt(B.squared_distances(a["v"], b["v"]))
-        sides = [(a, b, distance)] if same else [(a, b, distance), (b, a, distance.T)]
-        for points, others, d in sides:
-            for label in np.unique(others["label"]):
-                members = others["label"] == label
-                yield pd.DataFrame({
-                    "id": points["id"], "other": label, "total": d[:, members] @ others["w"][members],
-                })
-
-
-def silhouette_points(df: DataFrame, vector: str, label: str, id_column: str) -> DataFrame:
+    """Sums of distances by point and label, for one group of blocks after the other.
+
+    Each group's own blocks (``side`` 0) come first and stay; the others (``side`` 1) are used and forgotten.
+    """
+    group, parts, own, sums = None, [], None, {}
+
+    def made():
+        for label, total in sums.items():
+            yield pd.DataFrame({"id": own["id"], "other": label, "total": total})
+
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            if row.group != group:
+                yield from made()
+                group, parts, own, sums = row.group, [], None, {}
+            block = {"id": np.asarray(row.id), "w": np.asarray(row.w), "label": np.asarray(row.label)}
+            block["v"] = np.asarray(row.v).reshape(len(block["id"]), -1)
+            if row.side == 0:
+                parts.append(block)
+                continue
+            if own is None:
+                own = {name: np.concatenate([p[name] for p in parts]) for name in ("id", "v")}
+            distance = np.sqrt(B.squared_distances(own["v"], block["v"]))
+            for label in np.unique(block["label"]):
+                members = block["label"] == label
+                sums[label] = sums.get(label, 0.0) + distance[:, members] @ block["w"][members]
+            if len(sums) > HELD_LABELS:
+                yield from made()
+                sums = {}
+    yield from made()
+
+
+def silhouette_points(df: DataFrame, vector: str, label: str, id_column: str, staying: int = STAYING) -> DataFrame:
     """Exact Euclidean silhouette ``(id, w, silhouette)`` of each distinct point.
 
-    Every point needs its distance to all others, which is quadratic work by definition.
-    It is done block against block and leaves each task as one sum per point and
-    cluster. For data where that is too much, ask for ``silhouette_squared``.
+    Every point needs its distance to all others, which is quadratic work by definition. A task holds a few blocks and
+    lets all blocks pass by; it returns one sum for each of its points and each label. So what is exchanged grows with
+    points × labels, and the blocks are copied once for each ``staying`` of them. For data where that is too much, ask for
+    ``silhouette_squared``.
     """
     tagged = df.select(vector, id_column, F.col(label).cast("int").alias("label"))
     points = store(B.distinct_points(tagged, vector, id_column, "label"), "points")
     packed, directory = B.pack(points, F.array().cast("array<int>"), ["label"])
-    sums = B.paired_blocks(packed, B.neighbour_pairs(directory, 0)).mapInPandas(
-        _distance_sums, "id long, other int, total double"
-    ).groupBy("id", "other").agg(F.sum("total").alias("total"))
+    blocks = directory.agg(F.max("blocks")).first()[0] or 0
+    groups = -(-blocks // staying)
+    fields = ["id", "w", "label", "v"]
+    stay = packed.select((F.col("block") / staying).cast("int").alias("group"), F.lit(0).alias("side"), "block", *fields)
+    passing = packed.select(F.explode(F.sequence(F.lit(0), F.lit(max(groups - 1, 0)))).alias("group"), F.lit(1).alias("side"), "block", *fields)
+    lined = stay.unionByName(passing).repartitionByRange(max(groups, 1), "group").sortWithinPartitions("group", "side", "block")
+    sums = lined.mapInPandas(_distance_sums, "id long, other int, total double").groupBy("id", "other").agg(
+        F.sum("total").alias("total"))
     sizes = points.groupBy("label").agg(F.sum("w").alias("size"))
     mine = points.select("id", "label", "w")
     means = sums.join(mine, "id").join(sizes.withColumnRenamed("label", "other"), "other")
@@ -113,18 +113,6 @@ def silhouette_squared(df: DataFrame, vector: str, label: str) -> float:
     ).evaluate(df)
 
 
-# ---------------------------------------------------------------------- centres
-
-
-def centres_in_units(model: KMeansModel, columns: list[str], means: list[float], deviations: list[float]) -> list[dict]:
-    """Centres of a model fitted on standardised columns, in the columns' own units (k rows)."""
-    order = label_order(model)
-    return sorted(
-        ({"cluster": order[i], **{c: float(x * s + m) for c, x, m, s in zip(columns, centre, means, deviations)}}
-         for i, centre in enumerate(model.clusterCenters())), key=lambda r: r["cluster"],
-    )
-
-
 # ------------------------------------------------------------------- projection
 
 
@@ -155,31 +143,69 @@ def project(df: DataFrame, vector: str, k: int = 2) -> DataFrame:
 # ------------------------------------------------------------- row segmentation
 
 
-def encode_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Add ``features``: numbers first, then sparse one-hot categories, scaled to unit deviation.
-
-    Columns are not centred: that would fill the sparse vectors, and a shift common to
-    all rows changes no distance between them.
-    """
-    numeric, categorical = feat.split_types(df, columns)
-    prepared = df.select("*", *[
-        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"{c}__num") for c in numeric
-    ], *[
-        F.coalesce(F.col(c).cast("string"), F.lit(X.UNKNOWN)).alias(f"{c}__cat") for c in categorical
-    ])
-    cats = [f"{c}__cat" for c in categorical]
-    stages = feat.one_hot_stages(cats) + [
-        VectorAssembler(inputCols=[f"{c}__num" for c in numeric] + [f"{c}__hot" for c in cats], outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="features", withMean=False, withStd=True),
-    ]
-    return Pipeline(stages=stages).fit(prepared).transform(prepared).select(*df.columns, "features")
+@dataclass
+class RowEncoder:
+    """How rows became vectors: numbers in the first positions, then one position for each category but a column's first."""
+
+    numeric: list[str]
+    categorical: list[str]
+    deviations: list[float]
+    categories: DataFrame
+
+    @classmethod
+    def fit(cls, df: DataFrame, columns: list[str]) -> "RowEncoder":
+        numeric, categorical = feat.split_types(df, columns)
+        found = df.agg(F.lit(0).alias("_"), *[F.stddev_samp(feat.filled_number(c)).alias(c) for c in numeric]).first()
+        return cls(numeric, categorical, [float(found[c] or 0.0) for c in numeric], feat.category_table(df, categorical))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``features``: sparse vectors, every position scaled to unit deviation.
+
+        Positions are not centred: that would fill the sparse vectors, and a shift common to
+        all rows changes no distance between them.
+        """
+        numbers = [F.struct(F.lit(i).alias("at"), (feat.filled_number(c) / F.lit(s)).alias("value"))
+                   for i, (c, s) in enumerate(zip(self.numeric, self.deviations, strict=True)) if s > 0]
+        placed, marks = df, []
+        for i, c in enumerate(self.categorical):
+            own = self.categories.where(F.col("feature") == c).select(
+                F.col("category").alias("_category"), (F.col("position") + len(self.numeric)).cast("int").alias(f"_at{i}"),
+                F.col("deviation").alias(f"_deviation{i}"))
+            placed = placed.join(own, feat.filled_text(c) == F.col("_category"), "left").drop("_category")
+            marks.append(F.when(F.col(f"_deviation{i}") > 0, F.struct(
+                F.col(f"_at{i}").alias("at"), (1 / F.col(f"_deviation{i}")).alias("value"))))
+        entries = F.array_compact(F.array(*numbers, *marks)) if numbers or marks else F.array().cast("array<struct<at:int,value:double>>")
+        return placed.select(*df.columns, entries.alias("_entries")).select(
+            *df.columns, F.struct(F.col("_entries.at").alias("at"), F.col("_entries.value").alias("value")).alias("features"))
+
+    def centres(self, model: kmeans.Model) -> DataFrame:
+        """``(cluster, feature, category, centre)`` in the columns' own units.
+
+        Of a number that is the cluster's mean, of a category its share of the cluster; a column's first category has the rest.
+        """
+        spark, size = self.categories.sparkSession, len(self.numeric)
+        rows = [(k, p, float(x)) for k, centre in enumerate(model.centres) for p, x in enumerate(centre)]
+        numbers = [(k, c, None, float(model.centres[k, i]) * s) for k in range(len(model.centres))
+                   for i, (c, s) in enumerate(zip(self.numeric, self.deviations, strict=True)) if s > 0 and i < model.centres.shape[1]]
+        schema = "cluster int, feature string, category string, centre double"
+        placed = spark.createDataFrame([(k, p - size, x) for k, p, x in rows if p >= size], "cluster int, position long, x double")
+        shares = placed.join(self.categories, "position").select("cluster", "feature", "category", (F.col("x") * F.col("deviation")).alias("centre"))
+        return spark.createDataFrame(numbers, schema).unionByName(shares)
 
 
 def segment_rows(df: DataFrame, columns: list[str] | None = None, k: int = DEFAULT_ROW_CLUSTERS,
-                 seed: int = SEED, starts: int = STARTS) -> DataFrame:
+                 seed: int = kmeans.SEED, starts: int = kmeans.STARTS) -> DataFrame:
     """``df`` with a ``cluster`` for every row, from the features that vary."""
-    chosen = feat.select_features(df, columns)
-    return kmeans_labels(encode_rows(df, chosen), "features", k, seed, starts).drop("features")
+    return fitted_rows(df, columns, k, seed, starts)[0]
+
+
+def fitted_rows(df: DataFrame, columns: list[str] | None = None, k: int = DEFAULT_ROW_CLUSTERS, seed: int = kmeans.SEED,
+                starts: int = kmeans.STARTS) -> tuple[DataFrame, DataFrame, kmeans.Model]:
+    """The rows with their ``cluster``, the centres in the columns' own units, and the model."""
+    encoder = RowEncoder.fit(df, feat.select_features(df, columns))
+    encoded = encoder.transform(df)
+    model = kmeans.fit(encoded, "features", k, seed, starts)
+    return kmeans.assign(encoded, "features", model).drop("features"), encoder.centres(model), model
 
 
 # --------------------------------------------------------------- segment records

@@ -1,111 +1,18 @@
-"""Market embeddings: a recurrent autoencoder trained over Spark, or principal components."""
+"""Market embeddings: principal components of the markets' sequences."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merkato.operators import recurrent as R
 from merkato.operators.clustering import principal_axes
-from merkato.session import store
-
-# Training defaults.
-EPOCHS, BATCH, RATE = 50, 16, 1e-3
-ROWS_PER_SHARD = 4096
-
-
-@dataclass
-class Encoder:
-    layout: R.Layout
-    weights: np.ndarray
-    losses: list[float]
-
-
-def _matrix(sequences: pd.Series) -> np.ndarray:
-    return np.array([np.stack(s) for s in sequences], dtype=np.float64)
-
-
-def _epoch(layout: R.Layout, shared, step: int, batch: int, rate: float, seeds: list[int]):
-    """One epoch over one shard, starting from the shared weights and moments."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("market")
-        x = _matrix(pdf["sequence"])
-        rng = np.random.default_rng([*seeds, int(pdf["shard"].iloc[0])])
-        flat, first, second = np.split(shared.value.copy(), 3)
-        order, total, batches = rng.permutation(len(x)), 0.0, 0
-        for at in range(0, len(x), batch):
-            loss, gradient = R.loss_and_gradient(layout, flat, x[order[at:at + batch]], rng)
-            batches += 1
-            R.adam(flat, first, second, step + batches, gradient, rate)
-            total += loss
-        return pd.DataFrame({
-            "rows": [float(len(x))], "total": [total], "batches": [batches],
-            "state": [np.concatenate([flat, first, second])],
-        })
-
-    return run
-
-
-def train(sequences: DataFrame, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 42,
-          rows_per_shard: int = ROWS_PER_SHARD) -> Encoder:
-    """Fit the autoencoder to ``(market, sequence)`` rows and return its weights and loss per epoch.
-
-    Markets are spread over shards of limited size. In each epoch every shard runs its
-    mini-batches from the common weights, and Spark averages weights and Adam moments by
-    row count. One shard is the ordinary training loop. A shard's result depends only on
-    its rows, the epoch and the seed, so a lost task can be repeated.
-    """
-    spark = sequences.sparkSession
-    shape = sequences.agg(
-        F.count("*"), F.max(F.size("sequence")), F.max(F.size(F.col("sequence")[0]))).first()
-    rows, steps, inputs = shape
-    if not rows:
-        raise ValueError("no sequences to train on")
-    layout = R.Layout(steps, inputs)
-    shards = -(-rows // rows_per_shard)
-    data = store(sequences.select("market", "sequence", F.pmod(
-        F.xxhash64("market"), F.lit(shards)).cast("int").alias("shard")), "sequences")
-    state = np.concatenate([layout.initial(seed), np.zeros(2 * layout.size)])
-    step, losses = 0, []
-    for epoch in range(epochs):
-        shared = spark.sparkContext.broadcast(state)
-        done = data.groupBy("shard").applyInPandas(
-            _epoch(layout, shared, step, batch, rate, [seed, epoch]),
-            "rows double, total double, batches long, state array<double>",
-        )
-        merged = done.agg(
-            Summarizer.mean(array_to_vector("state"), F.col("rows")).alias("state"), F.sum("total"), F.sum("batches"),
-            F.max("batches"),
-        ).first()
-        state = merged[0].toArray()
-        losses.append(merged[1] / merged[2])
-        step += merged[3]
-        shared.destroy()
-    return Encoder(layout, state[:layout.size], losses)
-
-
-def embed(sequences: DataFrame, encoder: Encoder) -> DataFrame:
-    """``(market, embedding)`` from a trained encoder."""
-    shared = sequences.sparkSession.sparkContext.broadcast(encoder.weights)
-    layout = encoder.layout
-
-    def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                vectors = R.embed(layout, shared.value, _matrix(pdf["sequence"]))
-                yield pd.DataFrame({"market": pdf["market"], "embedding": list(vectors.astype(np.float32))})
-
-    return sequences.select("market", "sequence").mapInPandas(run, "market string, embedding array<float>")
 
+# Fixed value: numbers in an embedding.
+EMBEDDING = 32
 
-def principal_embedding(sequences: DataFrame, size: int = R.EMBEDDING) -> DataFrame:
+def principal_embedding(sequences: DataFrame, size: int = EMBEDDING) -> DataFrame:
     """``(market, embedding)`` by PCA of the flattened sequence: the best linear autoencoder."""
     flat = sequences.select("market", F.flatten("sequence").alias("flat"))
     rows, width = flat.agg(F.count("*"), F.max(F.size("flat"))).first()

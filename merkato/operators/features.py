@@ -249,30 +249,65 @@ def hybrid_vectors(embeddings: DataFrame, static: DataFrame, features: list[str]
 
 # --------------------------------------------------------------------- one-hot
 
+# Categories of a column up to which they may become columns of their own.
+WIDE = 1_000
+
+
 def one_hot_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Numeric columns first, then 0/1 columns ``<column>_<value>`` without each first value.
 
-    The result has a column for every value, so the values are read to name them; for columns of
-    very many values use the sparse encoding of ``one_hot_stages``.
+    The result has a column for every value, so the values are read to name them. That is for few values: with more
+    than ``WIDE`` of them the call is refused, and ``one_hot_entries`` gives the same as rows.
     """
-    values = {c: [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()][1:] for c in columns}
+    values = {}
+    for c in columns:
+        found = df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(WIDE + 2).collect()
+        if len(found) > WIDE + 1:
+            raise ValueError(f"{c} has more than {WIDE} values for columns of their own: use one_hot_entries")
+        values[c] = [r[0] for r in found][1:]
     rest = [c for c in df.columns if c not in columns]
     return df.select(*rest, *[
         F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int").alias(f"{c}_{v}") for c in columns for v in values[c]
     ])
 
 
-def one_hot_stages(columns: list[str]) -> list:
-    """Sparse one-hot encoding stages for wide categories, dropping each first value."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+def filled_number(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("double"), F.lit(0.0))
+
+
+def filled_text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(X.UNKNOWN))
 
-    if not columns:
-        return []
-    indexed = [f"{c}__index" for c in columns]
-    return [
-        StringIndexer(inputCols=columns, outputCols=indexed, stringOrderType="alphabetDesc"),
-        OneHotEncoder(inputCols=indexed, outputCols=[f"{c}__hot" for c in columns], dropLast=True),
-    ]
+
+def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(feature, category, rows, deviation, position)``: the categories of the columns, but for each column's first.
+
+    Positions count from 0 over all columns, in order of column and category. The table is written, so a join with it is
+    broadcast only where its size allows; no category passes through the driver.
+    """
+    empty = df.sparkSession.createDataFrame([], "feature string, category string, rows long")
+    counted = empty
+    for c in columns:
+        counted = counted.unionByName(df.groupBy(filled_text(c).alias("category")).agg(F.count("*").alias("rows")).select(
+            F.lit(c).alias("feature"), "category", "rows"))
+    counted = store(counted, "categories")
+    of_column = counted.groupBy("feature").agg(F.min("category").alias("_first"), F.sum("rows").alias("_all"))
+    later = counted.join(of_column, "feature").where(F.col("category") > F.col("_first"))
+    share = F.col("rows") / F.col("_all")
+    deviation = F.sqrt(share * (1 - share) * F.try_divide(F.col("_all"), F.col("_all") - 1))
+    numbered = number_rows(later, [F.col("feature"), F.col("category")], "position", 0)
+    return store(numbered.select("feature", "category", "rows", deviation.alias("deviation"), "position"), "category-table")
+
+
+def one_hot_entries(df: DataFrame, keys: list[str], columns: list[str], table: DataFrame | None = None) -> DataFrame:
+    """``(keys, feature, position)``: one row for each 1 of the one-hot encoding, whatever the number of categories."""
+    table = category_table(df, columns) if table is None else table
+    entries = None
+    for c in columns:
+        own = table.where(F.col("feature") == c).select(F.col("category").alias("_category"), "feature", "position")
+        part = df.select(*keys, filled_text(c).alias("_category")).join(own, "_category").select(*keys, "feature", "position")
+        entries = part if entries is None else entries.unionByName(part)
+    return entries
 
 
 def unique_names(columns: list[str]) -> list[str]:

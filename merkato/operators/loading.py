@@ -45,25 +45,40 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, natural_key: list
     they hold. A key may change several times in one batch, a change may arrive late,
     and replaying a batch changes nothing. Keys absent from the batch stay as they are.
     """
-    columns = [surrogate_key, *natural_key, *tracked, "ValidFrom", "ValidTo", "IsActive"]
-    values = F.struct(*tracked)
-    # The incoming rows may be costly to derive and are read several times below.
-    changes = store(
-        incoming.groupBy(*natural_key, F.col(effective).alias("ValidFrom")).agg(F.max(values).alias("_new")),
-        "changes",
-    )
+    changes = dated_changes(incoming, natural_key, tracked, effective)
     if current is None:
+        return changed_versions(None, changes, natural_key, tracked, surrogate_key, 1)
+    keys = changes.select(*natural_key).distinct()
+    start = (current.agg(F.max(surrogate_key)).first()[0] or 0) + 1
+    changed = changed_versions(current.join(keys, natural_key, "left_semi"), changes, natural_key, tracked, surrogate_key, start)
+    untouched = current.join(keys, natural_key, "left_anti").select(*changed.columns)
+    return untouched.unionByName(changed)
+
+
+def dated_changes(incoming: DataFrame, natural_key: list[str], tracked: list[str], effective: str = "effective") -> DataFrame:
+    """One written row ``(natural key, ValidFrom, _new)`` per key and instant; rows that lack either are left out.
+
+    The incoming rows may be costly to derive, and a merge reads its changes several times.
+    """
+    keyed = incoming.dropna(subset=[*natural_key, effective])
+    return store(
+        keyed.groupBy(*natural_key, F.col(effective).alias("ValidFrom")).agg(F.max(F.struct(*tracked)).alias("_new")), "changes")
+
+
+def changed_versions(versions: DataFrame | None, changes: DataFrame, natural_key: list[str], tracked: list[str],
+                     surrogate_key: str, start: int) -> DataFrame:
+    """All versions, after ``changes``, of the keys that these name; ``versions`` are those keys' stored ones.
+
+    New versions are numbered from ``start``. Both the merge and the chain of versions are written once.
+    """
+    columns = [surrogate_key, *natural_key, *tracked, "ValidFrom", "ValidTo", "IsActive"]
+    if versions is None:
         merged = changes.select(
-            *natural_key, "ValidFrom", F.lit(None).cast("long").alias(surrogate_key), F.col("_new").alias("_values")
-        )
+            *natural_key, "ValidFrom", F.lit(None).cast("long").alias(surrogate_key), F.col("_new").alias("_values"))
     else:
-        keys = changes.select(*natural_key).distinct()
-        versions = current.join(keys, natural_key, "left_semi").select(
-            *natural_key, "ValidFrom", surrogate_key, values.alias("_old")
-        )
-        merged = versions.join(changes, [*natural_key, "ValidFrom"], "full_outer").select(
-            *natural_key, "ValidFrom", surrogate_key, F.coalesce("_new", "_old").alias("_values")
-        )
+        old = versions.select(*natural_key, "ValidFrom", surrogate_key, F.struct(*tracked).alias("_old"))
+        merged = store(old.join(changes, [*natural_key, "ValidFrom"], "full_outer").select(
+            *natural_key, "ValidFrom", surrogate_key, F.coalesce("_new", "_old").alias("_values")), "merged-versions")
     largest = largest_group(merged, natural_key)
     steps = neighbour(merged, natural_key, ["ValidFrom"], ["_values"], -1, largest)
     # A stored version stays even when it repeats its predecessor; a new row must differ.
@@ -73,13 +88,13 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, natural_key: list
         F.coalesce("next_ValidFrom", open_end()).alias("ValidTo"),
         F.col("next_ValidFrom").isNull().alias("IsActive"),
     )
+    order = [F.col(c) for c in [*natural_key, "ValidFrom"]]
+    if versions is None:
+        return number_rows(chained.drop(surrogate_key), order, surrogate_key, start).select(*columns)
+    chained = store(chained, "chained-versions")
     new = chained.where(F.col(surrogate_key).isNull()).drop(surrogate_key)
-    numbered = assign_keys(new, [*natural_key, "ValidFrom"], surrogate_key, current).select(*columns)
-    if current is None:
-        return numbered
-    untouched = current.join(keys, natural_key, "left_anti").select(*columns)
-    old = chained.where(F.col(surrogate_key).isNotNull()).select(*columns)
-    return untouched.unionByName(old).unionByName(numbered)
+    numbered = number_rows(new, order, surrogate_key, start).select(*columns)
+    return chained.where(F.col(surrogate_key).isNotNull()).select(*columns).unionByName(numbered)
 
 
 # ---------------------------------------------------------------- dimensions
@@ -90,6 +105,12 @@ def build_dim_time(orders: DataFrame, order_date: str, seasons=X.SEASONS) -> Dat
     return assign_keys(days.select(*X.date_parts(F.col("_day"), seasons)), ["DateKey"], "TimeSuggorateKey")
 
 
+def add_days(known: DataFrame, orders: DataFrame, order_date: str, seasons=X.SEASONS) -> DataFrame:
+    """The time dimension with the days it lacks; known days keep their keys."""
+    new = build_dim_time(orders, order_date, seasons).drop("TimeSuggorateKey").join(known, "DateKey", "left_anti")
+    return known.unionByName(assign_keys(new, ["DateKey"], "TimeSuggorateKey", known).select(*known.columns))
+
+
 def build_dim_territory(territories: DataFrame, provinces: DataFrame, countries: DataFrame,
                         existing: DataFrame | None = None) -> DataFrame:
     """``territories(territory_id)`` ⋈ ``provinces(territory_id, country_code)`` ⋈ ``countries(country_code, country)``."""

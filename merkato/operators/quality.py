@@ -84,8 +84,8 @@ def several_active(dim: DataFrame, natural_key: list[str]) -> DataFrame:
     return duplicate_groups(star.current(dim), natural_key)
 
 
-def overlapping_pairs(dim: DataFrame, natural_key: list[str]) -> DataFrame:
-    """How many pairs of versions of one key overlap, without forming the pairs.
+def overlapping_pairs(dim: DataFrame, natural_key: list[str], by: str | None = None) -> DataFrame:
+    """How many pairs of versions of one key overlap, without forming the pairs; for each value of ``by``, a part of the key.
 
     Intervals are half-open; NULL bounds never match. Two well-formed versions either
     overlap or one ends before the other starts, so the overlaps are all pairs minus the
@@ -126,18 +126,20 @@ def overlapping_pairs(dim: DataFrame, natural_key: list[str]) -> DataFrame:
         (F.col("bds") + F.coalesce(F.sum("starts").over(before), F.lit(0))).alias("started"),
     )
     wide = "decimal(38,0)"
+    group = [] if by is None else [F.col(f"k{natural_key.index(by)}")]
     swept = placed.groupBy(*names).agg(
         F.sum(F.col("starts").cast(wide)).alias("m"),
         F.sum(F.col("starts").cast(wide) * F.col("ended").cast("decimal(18,0)")).alias("apart"),
         F.sum(F.col("points").cast(wide) * (F.col("started") - F.col("ended")).cast("decimal(18,0)")).alias("inside"),
-    ).agg(F.sum((F.col("m").cast("decimal(19,0)") * (F.col("m") - 1).cast("decimal(19,0)") / 2) - F.col("apart")
+    ).groupBy(*group).agg(F.sum((F.col("m").cast("decimal(19,0)") * (F.col("m") - 1).cast("decimal(19,0)") / 2) - F.col("apart")
                 + F.col("inside")).cast("long").alias("pairs"))
     corrupt = versions.where(F.col("f") > F.col("t")).select(*names, F.col("f").alias("cf"), F.col("t").alias("ct"),
                                                               F.col("n").alias("cn"))
     crossed = versions.where(proper).join(corrupt, names).where(
         (F.col("f") < F.col("ct")) & (F.col("t") > F.col("cf"))
-    ).agg(F.sum(F.col("n") * F.col("cn")).alias("pairs"))
-    return swept.unionByName(crossed).agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("issues"))
+    ).groupBy(*group).agg(F.sum(F.col("n") * F.col("cn")).alias("pairs"))
+    total = F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("issues")
+    return swept.unionByName(crossed).groupBy(*group).agg(total).select(*[g.alias(by) for g in group], "issues")
 
 
 def wrong_open_end(dim: DataFrame) -> DataFrame:
@@ -226,6 +228,44 @@ def distribution(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+# Size of a quantile sketch, and how far the rank of what it returns may be off.
+SKETCH, RANK_ERROR = 800, 0.01
+
+
+def quantile_sketches(df: DataFrame, columns: list[str], by: list[str] = (), size: int = SKETCH) -> DataFrame:
+    """One row per group with a mergeable sketch of each column, in one pass: so the sketches of months give those of years."""
+    return df.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), size).alias(c) for c in columns])
+
+
+def merged_sketches(sketches: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    return sketches.groupBy(*by).agg(*[F.kll_merge_agg_double(c).alias(c) for c in columns])
+
+
+def sketched_quantiles(sketches: DataFrame, columns: list[str], by: list[str] = (), probabilities=(0.25, 0.5, 0.75)) -> DataFrame:
+    """``(by, column_name, values, probability, quantile)``; a quantile's rank is within ``RANK_ERROR`` for sketches of ``SKETCH``."""
+    entries = [F.struct(F.lit(c).alias("column_name"), F.kll_sketch_get_n_double(c).alias("values"), F.lit(float(p)).alias("probability"),
+                        F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, F.lit(float(p)))).alias("quantile"))
+               for c in columns for p in probabilities]
+    return sketches.select(*by, F.explode(F.array(*entries)).alias("e")).select(*by, "e.*")
+
+
+def rank_errors(df: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """``(column_name, probability, error)``: how far a quantile's true rank is from its probability; 0 within a run of equals.
+
+    Needs the values once more, so it is for checking. There is one row per column and probability.
+    """
+    asked = [r for r in quantiles.select("column_name", "probability", "quantile").collect() if r.quantile is not None]
+    if not asked:
+        return quantiles.select("column_name", "probability", F.lit(None).cast("double").alias("error")).limit(0)
+    parts = []
+    for r in asked:
+        x, at = F.col(r.column_name).cast("double"), F.lit(r.quantile)
+        below, upto, n = F.count_if(x < at), F.count_if(x <= at), F.count(x)
+        error = F.greatest(below / n - r.probability, F.lit(r.probability) - upto / n, F.lit(0.0))
+        parts.append(F.struct(F.lit(r.column_name).alias("column_name"), F.lit(r.probability).alias("probability"), error.alias("error")))
+    return df.agg(F.array(*parts).alias("e")).select(F.explode("e").alias("e")).select("e.*")
+
+
 def domain_checks(customer: DataFrame, offer: DataFrame) -> DataFrame:
     return union_all([
         result("LoyaltyStatus in the four tiers", rows_where(customer, ~F.col("LoyaltyStatus").isin(LOYALTY_VALUES))),
@@ -239,11 +279,8 @@ def any_issue(results: DataFrame) -> DataFrame:
     return results.agg(F.coalesce(F.bool_or(F.col("status") == "ISSUE"), F.lit(False)).alias("has_issues"))
 
 
-def full_report(wh) -> DataFrame:
-    """Every check as rows of one frame, computed together."""
-    return union_all([
-        fact_to_bridge(wh), bridge_to_product(wh), fact_to_dimensions(wh), bridge_to_offer(wh), active_checks(wh),
-        overlap_checks(wh), open_end_checks(wh), date_key_format(wh.table("DimTime")),
-        duplicate_date_keys(wh.table("DimTime")), bridge_activity(wh.table("BridgeProductSpecialOffer")),
-        duplicate_surrogates(wh), domain_checks(wh.table("DimCustomer"), wh.table("DimSpecialOffer")),
-    ])
+def full_report(wh, nulls: list[str] = ()) -> DataFrame:
+    """Every check as rows of one frame, from about two scans a table; also the NULLs in the columns of some tables."""
+    from merkato.operators import report
+
+    return report.run_rules(wh, [*report.RULES, *report.null_rules(list(nulls))])

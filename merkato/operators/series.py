@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from merkato.functions import expressions as X
 from merkato.operators import star
+from merkato.operators.cube import MonthCube
 
 # The features of one time step, in the order the encoder reads them.
 STEP_FEATURES = [
@@ -113,17 +114,25 @@ def recent_months(wh, lookback: int, grain: str = "month") -> list[int]:
 def market_series(wh, lookback: int = 12, grain: str = "month") -> DataFrame:
     """Metrics with growth of every market over the latest ``lookback`` periods.
 
-    The months of those periods are literals, so they prune the fact files before the
-    wide aggregation.
+    Months come from the stored cube; of days, the months that hold them prune the fact files before the wide
+    aggregation.
     """
+    if period_columns(grain) == GRAINS["month"]:
+        return with_growth(with_previous(recent_metrics(wh, lookback)))
     months = recent_months(wh, lookback, grain)
     recent = market_rows(wh, months).where((F.col("year") * 100 + F.col("month")).isin(months))
     metrics = period_metrics(recent, grain)
-    if grain == "day":
-        metrics = within_periods(metrics, recent_periods(metrics, lookback, grain))
+    metrics = within_periods(metrics, recent_periods(metrics, lookback, grain))
     return with_growth(with_previous(metrics, grain))
 
 
+def recent_metrics(wh, lookback: int = 12) -> DataFrame:
+    """Metrics of the latest ``lookback`` months, from their partitions of the cube alone."""
+    cube = MonthCube.of(wh)
+    metrics = cube.metrics(cube.months()[-lookback:] if lookback > 0 else [])
+    return within_periods(metrics, recent_periods(metrics, lookback))
+
+
 def last_steps(series: DataFrame, length: int = 6, grain: str = "month") -> DataFrame:
     """The latest ``length`` periods of each market that has that many, numbered ``step`` 1…length."""
     periods = period_columns(grain)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from merkato.functions import expressions as X
 from merkato.operators import features as feat
 from merkato.operators import star
+from merkato.session import store
+from merkato.sources.tables import union_all
 
 
 def whole():
@@ -202,7 +204,10 @@ def deviations(rows: DataFrame, columns: list[str], top: int = 4) -> DataFrame:
 
 
 def encoded_means(rows: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """Means of numeric and one-hot columns per cluster; gaps count as 0 and as the unknown category."""
+    """Means of numeric and one-hot columns per cluster; gaps count as 0 and as the unknown category.
+
+    One column for every category: for few categories. ``encoded_mean_rows`` takes any number.
+    """
     filled = rows.select(
         "cluster", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in numeric],
         *[F.coalesce(F.col(c).cast("string"), F.lit(X.UNKNOWN)).alias(c) for c in categorical])
@@ -210,6 +215,26 @@ def encoded_means(rows: DataFrame, numeric: list[str], categorical: list[str]) -
     return cluster_means(encoded, [c for c in encoded.columns if c != "cluster"])
 
 
+def encoded_mean_rows(rows: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """``(cluster, feature, category, mean)``: the same means as rows, without those that are 0.
+
+    A one-hot column's mean is the category's share of the cluster, so rows are counted and never encoded. Each
+    column's first category has no row.
+    """
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("_size"), *[
+        F.sum(feat.filled_number(c)).alias(c) for c in numeric])
+    parts = [sizes.select("cluster", F.lit(c).alias("feature"), F.lit(None).cast("string").alias("category"),
+                          (F.col(c) / F.col("_size")).alias("mean")) for c in numeric]
+    for c in categorical:
+        counted = store(rows.groupBy("cluster", feat.filled_text(c).alias("category")).agg(F.count("*").alias("_n")), "category-counts")
+        first = counted.agg(F.min("category")).scalar()
+        # Clusters are few and categories many: the sizes are joined to the counts.
+        parts.append(counted.where(F.col("category") > first).join(
+            sizes.select(F.col("cluster").alias("_of"), "_size"), F.col("cluster").eqNullSafe(F.col("_of"))).select(
+            "cluster", F.lit(c).alias("feature"), "category", (F.col("_n") / F.col("_size")).alias("mean")))
+    return union_all(parts)
+
+
 # --------------------------------------------------------------------- profile
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from merkato.functions.ordering import exact_quantiles
 from merkato.operators import features as feat
+from merkato.operators.cube import MonthCube
 from merkato.operators import decisions, loading, quality, series, star, summaries
 from merkato.plans.catalog.registry import K, LABELS, labelled, query, r, rounded
 from merkato.session import store
@@ -18,7 +19,16 @@ _METRICS = ("market, year, month, datekey, CAST(revenue AS DOUBLE) AS revenue, q
 
 @query("A1_market_month_metrics", f"SELECT {_METRICS} FROM monthly")
 def _(wh):
-    return series.period_metrics(series.market_rows(wh))
+    return MonthCube.of(wh).metrics()
+
+
+@query("A1_distinct_over_months", """
+SELECT CountryRegion AS market, count(DISTINCT SalesOrderID) AS ordercount, count(DISTINCT DimCustomerKey) AS customercount,
+  count(DISTINCT Subcategory) AS uniquesubcategories, count(DISTINCT ProductLine) AS uniqueproductlines
+FROM star_current s JOIN recent r ON s.Year = r.year AND s.Month = r.month GROUP BY 1""")
+def _(wh):
+    cube = MonthCube.of(wh)
+    return cube.distinct_counts(["market"], cube.months()[-12:])
 
 
 @query("A1_market_day_metrics", f"""
@@ -203,6 +213,17 @@ def _(wh):
     return summaries.encoded_means(labelled(wh), ["Revenue"], ["LoyaltyStatus"])
 
 
+@query("A18_encoded_mean_rows", """
+SELECT cluster, 'Revenue' AS feature, NULL::VARCHAR AS category, round(CAST(sum(Revenue) AS DOUBLE) / count(*), 6) AS mean FROM labelled GROUP BY 1
+UNION ALL SELECT cluster, feature, category, round(count(*) / CAST(any_value(size) AS DOUBLE), 6) FROM (
+  SELECT cluster, unnest(['LoyaltyStatus', 'ProductName']) AS feature, unnest([LoyaltyStatus, ProductName]) AS category FROM labelled)
+JOIN (SELECT cluster, count(*) AS size FROM labelled GROUP BY 1) USING (cluster)
+JOIN (SELECT min(LoyaltyStatus) AS l, min(ProductName) AS p FROM labelled) ON category > CASE feature WHEN 'ProductName' THEN p ELSE l END
+GROUP BY 1, 2, 3""")
+def _(wh):
+    return rounded(summaries.encoded_mean_rows(labelled(wh), ["Revenue"], ["LoyaltyStatus", "ProductName"]), ["mean"])
+
+
 @query("A19_quartiles", f"SELECT {r('quantile_cont(revenue_per_customer, 0.25)')} AS p25, "
        f"{r('quantile_cont(revenue_per_customer, 0.75)')} AS p75 FROM scored")
 def _(wh):

@@ -78,8 +78,7 @@ def _(spark, folder):
 @query("J7_recent_periods", "SELECT m.market, m.year, m.month, CAST(m.revenue AS DOUBLE) AS revenue FROM monthly m "
        "JOIN recent USING (year, month)")
 def _(wh):
-    metrics = series.period_metrics(series.market_rows(wh)).select("market", "year", "month", "revenue")
-    return series.within_periods(metrics, series.recent_periods(metrics))
+    return series.recent_metrics(wh).select("market", "year", "month", "revenue")
 
 
 @query("J8_markets_with_static", "SELECT market, count(*) AS steps FROM steps SEMI JOIN static USING (market) GROUP BY 1")
@@ -110,3 +109,35 @@ def _(wh):
        "specialoffersuggoratekey FROM keyed_lines")
 def _(wh):
     return wh.lines().select("detail_id", "ProductSuggorateKey", "SpecialOfferSuggorateKey")
+
+
+# Every order as a version of its customer that lasts 400 days: far more than until the next one.
+_OVERLAPPING = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_shipdate < v.o_orderdate + INTERVAL 400 DAY THEN v.last_order END AS last_order
+FROM (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) e
+ASOF LEFT JOIN (SELECT o_custkey, o_orderdate, max(o_orderkey) AS last_order FROM orders GROUP BY 1, 2) v
+  ON e.o_custkey = v.o_custkey AND e.l_shipdate >= v.o_orderdate"""
+
+
+def _overlapping(spark, folder):
+    orders = source(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("ValidFrom"))
+    versions = orders.select("o_custkey", F.col("o_orderkey").alias("last_order"), "ValidFrom",
+                             (F.col("ValidFrom") + F.expr("INTERVAL 400 DAY")).alias("ValidTo"))
+    ships = source(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp_ntz").alias("shipped"))
+    return ships.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), versions
+
+
+@query("J11_as_of_overlaps", _OVERLAPPING, source=True)
+def _(spark, folder):
+    rows, versions = _overlapping(spark, folder)
+    return star.as_of_lookup(rows, versions, "o_custkey", "o_custkey", "shipped", "last_order").select(
+        "l_orderkey", "l_linenumber", "last_order")
+
+
+@query("J11_as_of_merge", _OVERLAPPING, source=True)
+def _(spark, folder):
+    rows, versions = _overlapping(spark, folder)
+    return star.as_of_lookup(rows, versions, "o_custkey", "o_custkey", "shipped", "last_order", joined=0).select(
+        "l_orderkey", "l_linenumber", "last_order")

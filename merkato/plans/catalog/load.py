@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from merkato.operators import loading
+from merkato.plans.refresh import StoredWarehouse
 from merkato.plans.catalog.registry import query
+from merkato.session import new_path
+from merkato.sources.dimensions import VersionedDimension
+from merkato.sources import tpch
 from merkato.sources.tpch import source
 
 _V = "CAST(ValidFrom AS VARCHAR) AS validfrom, CAST(ValidTo AS VARCHAR) AS validto, IsActive AS isactive"
@@ -35,6 +41,39 @@ def _(spark, folder):
     return loading.scd2_merge(second, batch(renamed, "1996-01-01"), ["customer_id"], ["segment"], "sk")
 
 
+@query("L1_stored_batches", """
+SELECT sk, c_custkey AS customer_id, segment, CAST(f AS VARCHAR) AS validfrom,
+  CAST(coalesce(t, TIMESTAMP '9999-12-31 23:59:59') AS VARCHAR) AS validto, t IS NULL AS isactive,
+  CAST(CASE WHEN t IS NULL THEN 0 ELSE year(t) * 100 + month(t) END AS INTEGER) AS closedmonth
+FROM v""", source=True, ctes="""
+c AS (SELECT c_custkey, c_mktsegment, c_mktsegment = 'BUILDING' AS b, c_custkey % 10 = 0 AS l FROM customer),
+sizes AS (SELECT count(*) AS n, count(*) FILTER (b) AS nb FROM c),
+v AS (
+  SELECT row_number() OVER (ORDER BY c_custkey) AS sk, c_custkey, c_mktsegment AS segment, TIMESTAMP '1990-01-01' AS f,
+    CASE WHEN l THEN TIMESTAMP '1993-03-15' WHEN b THEN TIMESTAMP '1996-01-01' END AS t FROM c
+  UNION ALL SELECT (SELECT n FROM sizes) + row_number() OVER (ORDER BY c_custkey), c_custkey, 'CONSTRUCTION',
+    TIMESTAMP '1996-01-01', NULL FROM c WHERE b
+  UNION ALL SELECT (SELECT n + nb FROM sizes) + row_number() OVER (ORDER BY c_custkey), c_custkey, 'LATE',
+    TIMESTAMP '1993-03-15', CASE WHEN b THEN TIMESTAMP '1996-01-01' END FROM c WHERE l)""")
+def _(spark, folder):
+    fields = "sk long, customer_id long, segment string, ValidFrom timestamp_ntz, ValidTo timestamp_ntz, IsActive boolean"
+    stored = VersionedDimension(
+        spark, new_path(spark, "customer-versions"), spark.createDataFrame([], fields).schema, ["customer_id"], "sk")
+
+    def batch(segment, day):
+        return source(spark, folder, "customer").select(
+            F.col("c_custkey").alias("customer_id"), segment.alias("segment"), F.lit(day).cast("timestamp_ntz").alias("effective"))
+
+    name = F.col("c_mktsegment")
+    second = batch(F.when(name == "BUILDING", "CONSTRUCTION").otherwise(name), "1996-01-01")
+    stored.apply(1, batch(name, "1990-01-01"))
+    stored.apply(2, second)
+    # A late change, of which the second batch knew nothing.
+    stored.apply(3, batch(F.lit("LATE"), "1993-03-15").where("customer_id % 10 = 0"))
+    stored.apply(2, second)  # was applied before
+    return stored.rows()
+
+
 @query("L2_fixed_load", """
 SELECT CASE WHEN known THEN row_number() OVER (PARTITION BY known ORDER BY n_nationkey)
     ELSE (SELECT count(DISTINCT s_nationkey) FROM supplier)
@@ -107,6 +146,80 @@ def _(wh):
     return wh.table("FactSale").drop("SaleMonth")
 
 
+# Two batches for a warehouse in files: sales before 1997, then the others with the parts as reclassified and new customer tiers.
+_TIERS = """CAST(coalesce(ltv, 0) AS DECIMAL(18,2)) AS value,
+    CASE WHEN coalesce(ltv, 0) < 1500000 THEN 'Low' WHEN coalesce(ltv, 0) < 3000000 THEN 'Medium' ELSE 'High' END AS tier,
+    CASE WHEN coalesce(recent, 0) >= 600000 THEN 'Platinum' WHEN coalesce(recent, 0) >= 350000 THEN 'Gold'
+      WHEN coalesce(recent, 0) >= 200000 THEN 'Silver' ELSE 'Bronze' END AS loyalty"""
+_SECOND = f"""early AS (
+  SELECT customer_id, sum(line_total) AS ltv, sum(line_total) FILTER (CAST(order_date AS DATE) > DATE '1995-12-31') AS recent
+  FROM lines WHERE order_date < TIMESTAMP '1997-01-01' GROUP BY 1),
+first_customers AS (SELECT c_custkey, c_mktsegment, {_TIERS} FROM customer LEFT JOIN early ON c_custkey = customer_id),
+last_customers AS (SELECT c_custkey, c_mktsegment, {_TIERS} FROM customer LEFT JOIN customer_totals ON c_custkey = customer_id),
+changed AS (SELECT l.* FROM last_customers l JOIN first_customers f USING (c_custkey)
+  WHERE (l.value, l.tier, l.loyalty) IS DISTINCT FROM (f.value, f.tier, f.loyalty)),
+customers_after AS (
+  SELECT row_number() OVER (ORDER BY f.c_custkey) AS sk, f.*, TIMESTAMP '1990-01-01' AS ValidFrom,
+    CASE WHEN c.c_custkey IS NULL THEN TIMESTAMP '9999-12-31 23:59:59' ELSE TIMESTAMP '1997-01-01' END AS ValidTo,
+    c.c_custkey IS NULL AS IsActive
+  FROM first_customers f LEFT JOIN changed c USING (c_custkey)
+  UNION ALL SELECT (SELECT count(*) FROM customer) + row_number() OVER (ORDER BY c_custkey), *, TIMESTAMP '1997-01-01',
+    TIMESTAMP '9999-12-31 23:59:59', true FROM changed),
+pairs_after AS (
+  SELECT row_number() OVER (ORDER BY batch, ProductSuggorateKey, SpecialOfferSuggorateKey) AS pair, * FROM (
+    SELECT ProductSuggorateKey, SpecialOfferSuggorateKey, min(CASE WHEN order_date < TIMESTAMP '1997-01-01' THEN 1 ELSE 2 END) AS batch
+    FROM keyed_lines GROUP BY 1, 2))"""
+
+
+def _grown(wh):
+    def made():
+        grown = StoredWarehouse(wh.spark, new_path(wh.spark, "stored-warehouse"))
+        spark, folder, lines = wh.spark, wh.folder, wh.numbered_lines()
+        cut = F.lit("1997-01-01").cast("timestamp_ntz")
+        early = F.col("order_date") < cut
+
+        def customers(sales, effective, as_of):
+            named = tpch.customers(spark, folder).withColumn("effective", effective)
+            return loading.customer_rows(named, sales, as_of, tpch.LTV_BOUNDS, tpch.LOYALTY_BOUNDS)
+
+        def products(reclassified):
+            found = tpch.parts(spark, folder, reclassified)
+            return loading.product_rows(found, tpch.models(found), tpch.subcategories(found))
+
+        start = F.lit(tpch.FIRST_LOAD).cast("timestamp_ntz")
+        first = dict(
+            products=products(False), offers=tpch.offers(spark, folder), territories=wh.table("DimTerritory").select(
+                "Territory_ID", "CountryRegion"),
+            customers=customers(lines.where(early), start, F.lit(dt.date(1996, 12, 31))), lines=lines.where(early))
+        second = dict(products=products(True), lines=lines.where(~early),
+                      customers=customers(lines, cut, F.lit(tpch.last_order_date(spark, folder))))
+        for batch, changes in ((1, first), (2, second), (2, second)):  # the repetition changes nothing
+            grown.apply(batch, **changes)
+        return grown
+
+    if "grown" not in wh.parts:
+        wh.parts["grown"] = made()
+    return wh.parts["grown"]
+
+
+@query("L9_second_batch", """
+SELECT k.order_id AS salesorderid, k.detail_id AS salesorderdetailid, p.pair AS brdgproductspecialofferkey,
+  t.TerritorySuggorateKey AS dimterritorykey, CAST(strftime(k.order_date, '%Y%m%d') AS BIGINT) AS dimtimekey,
+  c.sk AS dimcustomerkey, CAST(k.line_total AS DOUBLE) AS revenue, k.order_qty AS productquantity,
+  CASE WHEN k.line_total < 10000 THEN 'Low' WHEN k.line_total < 50000 THEN 'Medium' ELSE 'High' END AS productrange
+FROM keyed_lines k JOIN pairs_after p USING (ProductSuggorateKey, SpecialOfferSuggorateKey)
+JOIN customers_after c ON k.customer_id = c.c_custkey AND k.order_date >= c.ValidFrom AND k.order_date < c.ValidTo
+JOIN dim_territory t ON k.territory_id = t.Territory_ID""", ctes=_SECOND)
+def _(wh):
+    return _grown(wh).table("FactSale").drop("SaleMonth")
+
+
+@query("L7_second_batch", f"SELECT sk AS customersuggoratekey, c_custkey AS customer_id, c_mktsegment AS gender, CAST(value AS DOUBLE) "
+       f"AS lifetimevalue, tier AS ltvtier, loyalty AS loyaltystatus, {_V} FROM customers_after", ctes=_SECOND)
+def _(wh):
+    return _grown(wh).table("DimCustomer")
+
+
 @query("L9_rejected_sales", "SELECT count(*) AS rejected FROM lineitem LEFT JOIN dim_time d ON d.DateKey = "
        "CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) WHERE d.DateKey IS NULL")
 def _(wh):

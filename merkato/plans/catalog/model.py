@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from merkato.operators import clustering, density, encoder, series, star, summaries
+from merkato.operators import clustering, density, encoder, kmeans, series, star, summaries
 from merkato.operators import features as feat
 from merkato.plans.catalog.decide import REPRESENTATIVES, _CATEGORIES
 from merkato.plans.catalog.registry import labelled, query, r, rounded
@@ -55,14 +55,49 @@ def _(wh):
     return rounded(vectors.select("market", F.posexplode("vector").alias("position", "value")), ["value"])
 
 
+_PART_CATEGORIES = ["p_name", "p_brand", "p_type"]
+
+
+@query("M3_one_hot_entries", """
+SELECT p_partkey, feature, position FROM c JOIN t USING (feature, category)""", source=True, ctes="""
+c AS (SELECT p_partkey, unnest(['p_brand', 'p_name', 'p_type']) AS feature, unnest([p_brand, p_name, p_type]) AS category FROM part),
+first AS (SELECT feature, min(category) AS f FROM c GROUP BY 1),
+t AS (SELECT feature, category, row_number() OVER (ORDER BY feature, category) - 1 AS position
+      FROM (SELECT DISTINCT feature, category FROM c JOIN first USING (feature) WHERE category > f))""")
+def _(spark, folder):
+    return feat.one_hot_entries(source(spark, folder, "part"), ["p_partkey"], _PART_CATEGORIES)
+
+
 def _points(spark, folder):
     return source(spark, folder, "embeddings")
 
 
 @query("M5_kmeans", source=True)
 def _(spark, folder):
-    points = _points(spark, folder).select("vec_id", array_to_vector("embedding").alias("features"))
-    return clustering.kmeans_labels(points, "features", 5).select("vec_id", "cluster")
+    points = _points(spark, folder).select("vec_id", "embedding")
+    return clustering.kmeans_labels(points, "embedding", 5).select("vec_id", "cluster")
+
+
+@query("M5_cost_identity", f"""
+SELECT count(*) AS points, CAST(5 AS BIGINT) AS clusters, {r('sum(total)', 4)} AS total, {r('sum(total)', 4)} AS within_and_between FROM (
+  SELECT list_sum(list_transform(list_zip(embedding, mean), lambda x: (CAST(x[1] AS DOUBLE) - x[2]) ** 2)) AS total
+  FROM embeddings, (SELECT list(m ORDER BY i) AS mean FROM (
+    SELECT i, avg(CAST(e AS DOUBLE)) AS m FROM (SELECT unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings)
+    GROUP BY 1)))""", source=True)
+def _(spark, folder):
+    points = _points(spark, folder).select("vec_id", "embedding")
+    model = kmeans.fit(points, "embedding", 5)
+    labelled_points = kmeans.assign(points, "embedding", model)
+    entries = labelled_points.select("cluster", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
+    by_cluster = entries.groupBy("cluster", "i").agg(F.count("*").alias("n"), F.sum("x").alias("s"))
+    squares = entries.agg(F.sum(F.col("x") * F.col("x")).alias("q"))
+    whole = by_cluster.groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).agg(F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"))
+    own = by_cluster.agg(F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"))
+    counted = labelled_points.agg(F.count("*").alias("points"), F.count_distinct("cluster").alias("clusters"))
+    # The model's own cost is the part within clusters.
+    between = own.scalar() - whole.scalar()
+    return rounded(counted.select("points", "clusters", (squares.scalar() - whole.scalar()).alias("total"),
+                                  (F.lit(model.cost) + between).alias("within_and_between")), ["total", "within_and_between"], 4)
 
 
 _PAIRS = """distances AS (
@@ -134,6 +169,33 @@ def _(wh):
     return summaries.cluster_means(labelled(wh), _NUMERIC)
 
 
+_FITTED = ["Revenue", "ProductQuantity", "LoyaltyStatus", "ProductLine"]
+
+
+def _fitted(wh):
+    rows = store(star.sales_star(wh).select(*_FITTED), "fitted-rows")
+    return clustering.fitted_rows(rows, _FITTED, 4, starts=3)
+
+
+@query("M8_fitted_centres", "SELECT feature, category, " + r("mean", 5) + """ AS mean, true AS are_cluster_means FROM (
+  SELECT 'Revenue' AS feature, NULL::VARCHAR AS category, CAST(sum(Revenue) AS DOUBLE) / count(*) AS mean FROM star_current
+  UNION ALL SELECT 'ProductQuantity', NULL, CAST(sum(ProductQuantity) AS DOUBLE) / count(*) FROM star_current
+  UNION ALL SELECT 'LoyaltyStatus', LoyaltyStatus, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM star_current) FROM star_current
+    WHERE LoyaltyStatus > (SELECT min(LoyaltyStatus) FROM star_current) GROUP BY 2
+  UNION ALL SELECT 'ProductLine', ProductLine, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM star_current) FROM star_current
+    WHERE ProductLine > (SELECT min(ProductLine) FROM star_current) GROUP BY 2)""")
+def _(wh):
+    found, centres, model = _fitted(wh)
+    means = summaries.encoded_mean_rows(found, _FITTED[:2], _FITTED[2:]).select(
+        F.col("cluster").alias("_cluster"), F.col("feature").alias("_feature"), F.col("category").alias("_category"), "mean")
+    sizes = wh.spark.createDataFrame(list(enumerate(model.sizes)), "_of int, size long")
+    beside = centres.join(means, (F.col("cluster") == F.col("_cluster")) & (F.col("feature") == F.col("_feature"))
+                          & F.col("category").eqNullSafe(F.col("_category")), "left").join(sizes, F.col("cluster") == F.col("_of"))
+    near = F.abs(F.col("centre") - F.coalesce("mean", F.lit(0.0))) <= 1e-6 * (1 + F.abs("centre"))
+    return rounded(beside.groupBy("feature", "category").agg(
+        (F.sum(F.col("centre") * F.col("size")) / F.sum("size")).alias("mean"), F.bool_and(near).alias("are_cluster_means")), ["mean"], 5)
+
+
 @query("M9_representatives", "SELECT cluster, feature, value FROM representatives", ctes=REPRESENTATIVES)
 def _(wh):
     return summaries.representatives(labelled(wh), _CATEGORIES).select("cluster", "feature", "value")
@@ -177,5 +239,19 @@ def _(wh):
 
 @query("M16_row_segmentation")
 def _(wh):
+    return _segmented(wh)
+
+
+def _segmented(wh):
     found = clustering.segment_rows(store(star.sales_star(wh), "sales-rows"))
     return found.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("Revenue").alias("revenue"))
+
+
+@query("M16_segmented_rows", "SELECT CAST(6 AS BIGINT) AS clusters, true AS larger_first, CAST(count(*) AS BIGINT) AS size, "
+       "CAST(sum(Revenue) AS DOUBLE) AS revenue FROM star_current")
+def _(wh):
+    sizes = _segmented(wh)
+    ordered = F.array_sort(F.collect_list(F.struct("cluster", "size")))["size"]  # one row per cluster
+    return sizes.agg(
+        F.count("*").alias("clusters"), (ordered == F.reverse(F.array_sort(ordered))).alias("larger_first"),
+        F.sum("size").alias("size"), F.sum("revenue").alias("revenue"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merkato import schemas
 from merkato.functions import expressions as X
+from merkato.operators.cube import MonthCube
 from merkato.operators import series
 from merkato.plans.catalog.registry import query
 from merkato.session import new_path
@@ -30,6 +32,33 @@ def _(spark, folder):
                        F.col("c_acctbal").cast("double"), "c_mktsegment")
 
 
+@query("S2_csv_rejects", """
+SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'wrong number of values' WHEN o_orderkey % 50 = 1 THEN 'o_totalprice is not double: many'
+    WHEN o_orderkey % 50 = 2 THEN 'o_custkey is empty' END AS reason, count(*) AS records, CAST(sum(CASE WHEN o_orderkey % 50 > 2 THEN
+    o_custkey END) AS BIGINT) AS custkeys FROM orders GROUP BY 1""", source=True)
+def _(spark, folder):
+    key = F.col("o_orderkey") % 50
+    lines = source(spark, folder, "orders").select(F.concat_ws(
+        ",", "o_orderkey", F.when(key == 2, "").otherwise(F.col("o_custkey").cast("string")),
+        F.when(key == 1, "many").otherwise(F.col("o_totalprice").cast("string")), F.when(key == 0, "one more")).alias("o_orderkey,o_custkey,o_totalprice"))
+    path = new_path(spark, "csv-lines")
+    lines.write.csv(path, header=True, sep="\x01")  # so that the commas are the record's own
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType(), False),
+                           T.StructField("o_totalprice", T.DoubleType())])
+    good, rejects = io.read_csv_checked(spark, path, schema)
+    kept = good.agg(F.lit(None).cast("string").alias("reason"), F.count("*").alias("records"), F.sum("o_custkey").alias("custkeys"))
+    return rejects.groupBy("reason").agg(F.count("*").alias("records"), F.lit(None).cast("long").alias("custkeys")).unionByName(kept)
+
+
+@query("S3_replaced_table", "SELECT SpecialOffer_ID + 100 AS specialoffer_id, Type AS type FROM dim_offer WHERE SpecialOffer_ID > 2")
+def _(wh):
+    own = io.Warehouse(wh.spark, new_path(wh.spark, "replaced"))
+    own.save("DimSpecialOffer", wh.table("DimSpecialOffer"))
+    later = own.table("DimSpecialOffer").where("SpecialOffer_ID > 2")
+    own.save("DimSpecialOffer", later.withColumn("SpecialOffer_ID", F.col("SpecialOffer_ID") + 100), replace=True)
+    return own.table("DimSpecialOffer").select("SpecialOffer_ID", "Type")
+
+
 @query("S3_table_layout", "SELECT CAST(DimTimeKey // 100 AS INTEGER) AS salemonth, count(*) AS row_count "
        "FROM fact_sale GROUP BY 1")
 def _(wh):
@@ -83,7 +112,7 @@ source AS (
        "createdat FROM source UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE "
        "s.datekey = t.datekey AND s.market = t.market)", ctes=_S8_CTES)
 def _(wh):
-    metrics = series.period_metrics(series.market_rows(wh))
+    metrics = MonthCube.of(wh).metrics()
     columns = ["DateKey", "MarketNameKey", "SegmentID", "Revenue", "Quantity", "ProductRange"]
 
     def shaped(df, segment, label):
@@ -103,7 +132,7 @@ def _(wh):
 @query("S9_csv_export", "SELECT market, CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(quantity) AS BIGINT) AS quantity "
        "FROM monthly GROUP BY 1")
 def _(wh):
-    totals = series.period_metrics(series.market_rows(wh)).groupBy("market").agg(
+    totals = MonthCube.of(wh).metrics().groupBy("market").agg(
         F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"))
     path = io.write_csv(totals, new_path(wh.spark, "export"), "market_segmentation")
     return io.read_csv(wh.spark, path, "market string, revenue double, quantity bigint")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from merkato.operators.cube import MonthCube
 from merkato.operators import decisions, series, summaries
 from merkato.operators import features as feat
 from merkato.plans.catalog.registry import K, labelled, query, r, rounded
@@ -23,13 +24,13 @@ DEVIATIONS = "deviations AS (SELECT cluster, feature, diff, CAST(row_number() OV
        "FROM (SELECT *, lag(revenue) OVER w AS prevrevenue, lag(quantity) OVER w AS prevquantity FROM monthly "
        "WINDOW w AS (PARTITION BY market ORDER BY year, month))")
 def _(wh):
-    metrics = series.period_metrics(series.market_rows(wh)).select("market", "year", "month", "revenue", "quantity")
+    metrics = MonthCube.of(wh).metrics().select("market", "year", "month", "revenue", "quantity")
     return series.with_previous(metrics).drop("revenue", "quantity")
 
 
 @query("W2_recent_periods", "SELECT year, month FROM recent")
 def _(wh):
-    return series.recent_periods(series.market_rows(wh))
+    return series.recent_periods(MonthCube.of(wh).metrics())
 
 
 @query("W3_last_steps", "SELECT market, year, month, CAST(revenue AS DOUBLE) AS revenue, CAST(step AS INTEGER) AS step "

@@ -5,18 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merkato.functions.ordering import number_rows
-from merkato.operators import clustering, density, encoder, series
+from merkato.operators import clustering, density, encoder, kmeans, series
 from merkato.operators import features as feat
 from merkato.session import store
 from merkato.sources.tables import require_rows, upsert_segments
 
 METHODS = ("kmeans", "dbscan")
-EMBEDDINGS = ("lstm", "pca")
 
 
 @dataclass
@@ -25,11 +23,7 @@ class Settings:
     sequence_length: int = 6
     clusters: int = clustering.DEFAULT_MARKET_CLUSTERS
     method: str = "kmeans"
-    embedding: str = "pca"
-    epochs: int = encoder.EPOCHS
-    batch: int = encoder.BATCH
-    rate: float = encoder.RATE
-    seed: int = clustering.SEED
+    seed: int = kmeans.SEED
     share_basis: str = "customer"
     grain: str = "month"
 
@@ -39,8 +33,9 @@ class Segmentation:
     segments: DataFrame
     vectors: DataFrame
     records: DataFrame
-    losses: list[float]
+    #: Mean silhouette of the segments, and the distance it is measured by.
     score: float
+    score_form: str = "euclidean"
 
 
 def market_sequences(market_series: DataFrame, static: DataFrame, settings: Settings) -> DataFrame:
@@ -54,8 +49,7 @@ def cluster_vectors(vectors: DataFrame, settings: Settings) -> DataFrame:
     """``(market, cluster)`` of standardised hybrid vectors."""
     scaled = feat.standardize_vectors(vectors, "vector")
     if settings.method == "kmeans":
-        ready = scaled.select("market", "vector", array_to_vector("vector").alias("features"))
-        return clustering.kmeans_labels(ready, "features", settings.clusters, settings.seed).drop("features")
+        return clustering.kmeans_labels(scaled.select("market", "vector"), "vector", settings.clusters, settings.seed)
     if settings.method == "dbscan":
         # Clusters are numbered in market order, so the id follows the market name.
         numbered = number_rows(scaled, [F.col("market")], "id", 0)
@@ -72,13 +66,7 @@ def run_segmentation(wh, settings: Settings | None = None, run_date: dt.date | N
     static = store(feat.static_features(feat.static_rows(wh), settings.share_basis), "static")
     sequences = store(market_sequences(market_series, static, settings), "sequences")
     require_rows(sequences, f"no market has {settings.sequence_length} periods and static features")
-    if settings.embedding == "lstm":
-        trained = encoder.train(sequences, settings.epochs, settings.batch, settings.rate, settings.seed)
-        embedded, losses = encoder.embed(sequences, trained), trained.losses
-    elif settings.embedding == "pca":
-        embedded, losses = encoder.principal_embedding(sequences), []
-    else:
-        raise ValueError(f"embedding must be one of {EMBEDDINGS}")
+    embedded = encoder.principal_embedding(sequences)
     vectors = store(feat.hybrid_vectors(embedded, static), "vectors")
     labelled = store(cluster_vectors(vectors, settings), "labels")
     numbered = number_rows(labelled, [F.col("market")], "id", 0)
@@ -90,4 +78,4 @@ def run_segmentation(wh, settings: Settings | None = None, run_date: dt.date | N
         upsert_segments(wh.spark, target, records, F.current_timestamp().cast("timestamp_ntz"))
     segments = metadata.join(labelled.select("market", F.col("cluster").alias("segment")), "market").select(
         "market", "segment", "revenue", "quantity", "productrange")
-    return Segmentation(segments, vectors, records, losses, score)
+    return Segmentation(segments, vectors, records, score)

@@ -19,7 +19,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._derived: dict[str, DataFrame] = {}
+        self._derived: dict[str, tuple[int, DataFrame]] = {}
+        #: What operators keep for this warehouse beside its tables; dropped when a table is saved.
+        self.parts: dict[str, object] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -27,18 +29,24 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return scan(self.spark, self.path(name), stored_schema(name))
 
-    def save(self, name: str, df: DataFrame) -> None:
-        create_table(name, df, self.path(name))
+    def save(self, name: str, df: DataFrame, replace: bool = False) -> None:
+        create_table(name, df, self.path(name), "overwrite" if replace else "errorifexists")
         self._derived.clear()
+        self.parts.clear()
 
-    def derived(self, name: str, build) -> DataFrame:
-        """A table computed from the warehouse, written on first use.
+    def stamp(self, names: list[str]) -> int:
+        """A number that changes when the files of the named tables do, whoever wrote them. For dimensions: it lists their files."""
+        return hash(tuple(sorted(file for name in names for file in self.table(name).inputFiles())))
+
+    def derived(self, name: str, build, tables: list[str]) -> DataFrame:
+        """A table computed from the named tables, written on first use and again once these have other files.
 
         Read from files it has a known size, by which Spark decides whether to broadcast it.
         """
-        if name not in self._derived:
-            self._derived[name] = store(build(), name)
-        return self._derived[name]
+        stamp = self.stamp(tables)
+        if name not in self._derived or self._derived[name][0] != stamp:
+            self._derived[name] = stamp, store(build(), name)
+        return self._derived[name][1]
 
 
 def stored_schema(name: str) -> T.StructType:
@@ -51,10 +59,14 @@ def stored_schema(name: str) -> T.StructType:
 def create_table(name: str, df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write one table in its declared column types and physical layout.
 
+    ``mode="overwrite"`` replaces it; what is written may be computed from the table itself, as it is written apart first.
+
     The rebalance hint gathers each month's rows into few files, and lets adaptive
     execution split a month that is too big for one task.
     """
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields])
+    if mode == "overwrite":
+        typed = store(typed, name)
     partition = schemas.PARTITIONS.get(name)
     if name == "FactSale":
         typed = typed.withColumn(partition, F.expr("cast(DimTimeKey div 100 as int)"))
@@ -71,12 +83,44 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return df if columns is None else df.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV file with header. Give the schema where it is known: inferring reads the file twice."""
-    how = {"header": True, "quote": '"', "escape": '"', "multiLine": True}  # doubled quotes, line breaks inside quotes
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """A CSV file with header. Give the schema where it is known: inferring reads the file twice.
+
+    With ``multi_line``, quoted values may hold line breaks; a file is then read by one task, otherwise by many.
+    """
+    how = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}  # quotes are doubled
     return spark.read.csv(path, **how, **({"schema": schema} if schema is not None else {"inferSchema": True}))
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType,
+                     multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The records of a CSV file with header that fit ``schema``, and those that don't: ``(record, reason)``.
+
+    A record is rejected when its number of values differs from the header's, when a value can't be read as its column's
+    type, or when a column that may not be NULL is empty; the reason names the first of these. The file is read once,
+    and both frames come from that reading.
+    """
+    broken, names = "_broken", schema.fieldNames()
+    while broken in names:
+        broken += "_"
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in [*names, broken]])
+    raw = spark.read.csv(path, schema=texts, header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE",
+                         columnNameOfCorruptRecord=broken, enforceSchema=True)
+    quoted = lambda name: F.col(f"`{name}`")
+    reason = F.when(quoted(broken).isNotNull(), F.lit("wrong number of values"))
+    for field in schema.fields:
+        value = quoted(field.name)
+        if not isinstance(field.dataType, T.StringType):
+            reason = reason.when(value.isNotNull() & value.try_cast(field.dataType).isNull(), F.concat(
+                F.lit(f"{field.name} is not {field.dataType.simpleString()}: "), value))
+        if not field.nullable:
+            reason = reason.when(value.isNull(), F.lit(f"{field.name} is empty"))
+    record = F.coalesce(quoted(broken), F.to_csv(F.struct(*map(quoted, names)), {"quote": '"', "escape": '"'}))
+    read = store(raw.select(*map(quoted, names), reason.alias("_reason"), F.when(reason.isNotNull(), record).alias("_record")), "csv")
+    good = read.where(F.col("_reason").isNull()).select(*[quoted(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return good, read.where(F.col("_reason").isNotNull()).select(F.col("_record").alias("record"), F.col("_reason").alias("reason"))
+
+
 def write_csv(df: DataFrame, folder: str, name: str, at: dt.datetime | None = None) -> str:
     stamp = (at or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
     path = f"{folder.rstrip('/')}/{name}_{stamp}.csv"

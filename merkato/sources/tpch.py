@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merkato.functions.ordering import number_copies
+from merkato.functions.ordering import number_within
 from merkato.operators import loading
-from merkato.session import new_path
+from merkato.session import new_path, store
 from merkato.sources.tables import Warehouse
 
 TABLES = [
@@ -44,11 +44,13 @@ def _instant(text: str):
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales lines: one row per line item with its order's customer and date."""
-    orders = source(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    """Sales lines: one row per line item with its order's customer, date and territory, which are joined per order."""
+    nation = source(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").cast("long").alias("territory_id"))
+    orders = source(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate").join(
+        nation, F.col("o_custkey") == F.col("c_custkey"), "left")
     return source(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_date"),
-        F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"),
+        F.col("o_custkey").alias("customer_id"), "territory_id", F.col("l_partkey").alias("product_id"),
         F.expr("cast(round(l_discount * 100) as bigint)").alias("offer_id"),
         money(LINE_CENTS).alias("line_total"), F.col("l_quantity").cast("long").alias("order_qty"),
         "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus",
@@ -123,6 +125,7 @@ class TpchWarehouse(Warehouse):
         super().__init__(spark, new_path(spark, "warehouse"))
         self.folder = folder
         self._ready: set[str] = set()
+        self._numbered: DataFrame | None = None
         self._lines: DataFrame | None = None
 
     @classmethod
@@ -160,19 +163,22 @@ class TpchWarehouse(Warehouse):
 
     def _build_DimCustomer(self):
         return loading.build_dim_customer(
-            customers(self.spark, self.folder), order_lines(self.spark, self.folder),
+            customers(self.spark, self.folder), self.numbered_lines(),
             F.lit(last_order_date(self.spark, self.folder)), LTV_BOUNDS, LOYALTY_BOUNDS,
         )
 
+    def numbered_lines(self) -> DataFrame:
+        """Order lines with detail number and territory, written once and read by whatever is built from sales."""
+        if self._numbered is None:
+            lines = number_within(order_lines(self.spark, self.folder), LINE_ORDER[0], LINE_ORDER[1:], "detail_id")
+            self._numbered = store(lines, "lines")
+        return self._numbered
+
     def lines(self) -> DataFrame:
-        """Order lines with detail number, territory and product and offer keys, written once."""
+        """Order lines with product and offer keys."""
         if self._lines is None:
-            nation = source(self.spark, self.folder, "customer").select(
-                F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").cast("long").alias("territory_id")
-            )
-            lines = order_lines(self.spark, self.folder).join(nation, "customer_id", "left")
-            keyed = loading.lookup_product_offer(lines, self.table("DimProduct"), self.table("DimSpecialOffer"))
-            self._lines = number_copies(keyed, LINE_ORDER, "detail_id")
+            self._lines = loading.lookup_product_offer(
+                self.numbered_lines(), self.table("DimProduct"), self.table("DimSpecialOffer"))
         return self._lines
 
     def bridge_pairs(self) -> DataFrame:

@@ -114,7 +114,7 @@ def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
     from merkato.sources.tables import find_column, read_csv, write_csv
 
     (tmp_path / "in.csv").write_text('a,b\n1,"x ""y"", z"\n2,"two\nlines"\n3,plain\n')
-    rows = read_csv(spark, str(tmp_path / "in.csv"), spark.createDataFrame([], "a int, b string").schema)
+    rows = read_csv(spark, str(tmp_path / "in.csv"), spark.createDataFrame([], "a int, b string").schema, multi_line=True)
     wanted = [(1, 'x "y", z'), (2, "two\nlines"), (3, "plain")]
     assert sorted(map(tuple, rows.collect())) == wanted
     out = write_csv(rows, str(tmp_path), "out")

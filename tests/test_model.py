@@ -4,13 +4,13 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from merkato.operators import blocks, clustering, density, encoder, recurrent
+from merkato.operators import blocks, clustering, density, kmeans, summaries
+from merkato.operators import features as feat
 from merkato.plans.segmentation import Settings, run_segmentation
 from merkato.session import new_path
-from merkato.sources.tables import read_csv, scan, upsert_segments, write_csv
+from merkato.sources.tables import read_csv, read_csv_checked, scan, upsert_segments, write_csv
 from merkato.sources.tpch import TpchWarehouse
 
 
@@ -90,21 +90,74 @@ def test_silhouette_equals_brute_force(spark, monkeypatch, labels):
 def test_kmeans_keeps_the_cheapest_start(spark):
     rng = np.random.default_rng(6)
     points = np.concatenate([rng.normal(c, 0.2, size=(30, 2)) for c in ((0, 0), (5, 5), (0, 5))])
-    df = frame(spark, points).withColumn("f", array_to_vector("v"))
-    best = clustering.kmeans_best(df, "f", 3, starts=4)
-    singles = [clustering.kmeans_best(df, "f", 3, seed=42 + i, starts=1).summary.trainingCost for i in range(4)]
-    assert best.summary.trainingCost == pytest.approx(min(singles))
-    labelled = clustering.kmeans_labels(df, "f", 3, starts=4).toPandas()
-    assert sorted(labelled.cluster.unique()) == [0, 1, 2]
-    centres = labelled.groupby("cluster")["v"].apply(lambda v: np.mean(np.stack(v), axis=0))
-    for _, row in labelled.iterrows():
-        distances = [np.linalg.norm(row.v - centres[c]) for c in range(3)]
-        assert int(np.argmin(distances)) == row.cluster
-    units = clustering.centres_in_units(best, ["x", "y"], [1.0, 2.0], [2.0, 4.0])
-    sizes = [r["cluster"] for r in units]
-    assert sizes == [0, 1, 2]
+    df = frame(spark, points)
+    best = kmeans.fit(df, "v", 3, starts=4)
+    labelled = clustering.kmeans_labels(df, "v", 3, starts=4).toPandas()
+    assert sorted(labelled.cluster.unique()) == [0, 1, 2] and best.sizes == sorted(best.sizes, reverse=True)
+    centres = np.stack(labelled.groupby("cluster")["v"].apply(lambda v: np.mean(np.stack(v), axis=0)))
+    assert centres == pytest.approx(best.centres, abs=1e-9)
+    distances = ((np.stack(labelled.v)[:, None] - centres[None]) ** 2).sum(-1)
+    assert distances.argmin(1).tolist() == labelled.cluster.tolist()
+    assert distances.min(1).sum() == pytest.approx(best.cost, rel=1e-8)
+    more = kmeans.fit(df, "v", 11, starts=2)
+    assert len(more.centres) == 11 and sum(more.sizes) == 90 and more.cost < best.cost
     with pytest.raises(ValueError):
-        clustering.kmeans_best(df, "f", 11)
+        kmeans.fit(df, "v", 0)
+
+
+def test_kmeans_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(12)
+    points = rng.normal(size=(900, 3)) * [1e4, 1.0, 1e-3]
+    points[600:] = points[0]  # a third are copies
+    sparse = F.struct(F.array(F.lit(4), F.lit(0), F.lit(2)).alias("at"), F.col("v").alias("value"))
+    base = frame(spark, points).withColumn("s", sparse)
+    for column in ("v", "s"):
+        models = [kmeans.fit(df, column, 4, starts=3) for df in (
+            base.repartition(3), base.repartition(41, "id").sortWithinPartitions(F.desc("id")), base.coalesce(1).orderBy(F.rand(5)))]
+        labels = [kmeans.assign(df, column, models[0]).select("id", "cluster") for df in (base.repartition(2), base.repartition(37))]
+        assert all((m.centres == models[0].centres).all() and m.sizes == models[0].sizes and m.cost == models[0].cost for m in models)
+        assert sorted(map(tuple, labels[0].collect())) == sorted(map(tuple, labels[1].collect()))
+    nothing = kmeans.assign(base.withColumn("v", F.when(F.col("id") > 5, F.col("v"))), "v", kmeans.fit(base, "v", 2, starts=1))
+    assert nothing.where("cluster IS NULL").count() == 6
+
+
+def test_sparse_vectors_are_clustered_like_dense_ones(spark):
+    rng = np.random.default_rng(13)
+    points = rng.normal(size=(200, 5)) + rng.integers(0, 3, 200)[:, None] * 9
+    points[rng.random(points.shape) < 0.3] = 0
+    rows = [(i, p.tolist(), (np.flatnonzero(p).tolist(), p[p != 0].tolist())) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, s struct<at:array<int>,value:array<double>>")
+    dense, sparse = kmeans.fit(df, "v", 3, starts=2), kmeans.fit(df, "s", 3, starts=2)
+    assert sum(sparse.sizes) == 200
+    for model, column in ((dense, "v"), (sparse, "s")):
+        found = kmeans.assign(df, column, model).orderBy("id").toPandas()
+        distances = ((points[:, None] - model.centres[None]) ** 2).sum(-1)
+        assert distances.argmin(1).tolist() == found.cluster.tolist()
+
+
+def test_wide_categories_stay_rows(spark):
+    df = spark.createDataFrame([(i, f"v{i:04}", "ab"[i % 2], i % 3) for i in range(1500)] + [(1500, None, "a", 0)], "id long, c string, d string, cluster int")
+    table = {(r.feature, r.category): (r.position, r.rows) for r in feat.category_table(df, ["c", "d"]).collect()}
+    assert sorted(p for p, _ in table.values()) == list(range(1501)) and ("c", "__UNKNOWN__") not in table
+    entries = {(r.id, r.feature): r.position for r in feat.one_hot_entries(df, ["id"], ["c", "d"]).collect()}
+    assert entries[7, "c"] == table["c", "v0007"][0] and entries[7, "d"] == table["d", "b"][0] and (8, "d") not in entries and (1500, "c") not in entries
+    with pytest.raises(ValueError):
+        feat.one_hot_columns(df, ["c"])
+    means = {(r.cluster, r.feature, r.category): r.mean for r in summaries.encoded_mean_rows(df, ["id"], ["c", "d"]).collect()}
+    assert means[1, "d", "b"] == pytest.approx(250 / 500) and means[0, "c", "v0003"] == pytest.approx(1 / 501)
+    assert means[2, "id", None] == pytest.approx(sum(i for i in range(1500) if i % 3 == 2) / 500)
+
+
+def test_centres_come_back_in_units(spark):
+    rng = np.random.default_rng(14)
+    df = spark.createDataFrame([(float(rng.normal() + 40 * (i % 2)), "xyz"[i % 3], "same") for i in range(300)], "n double, c string, e string")
+    found, centres, model = clustering.fitted_rows(df, ["n", "c", "e"], 3, starts=2)
+    own = found.toPandas()
+    for r in centres.collect():
+        members = own[own.cluster == r.cluster]
+        expected = members.n.mean() if r.feature == "n" else (members.c == r.category).mean()
+        assert r.centre == pytest.approx(expected, abs=1e-6)
+    assert {r.category for r in centres.collect() if r.feature == "c"} == {"y", "z"}
 
 
 def test_projection_equals_singular_vectors(spark):
@@ -116,44 +169,10 @@ def test_projection_equals_singular_vectors(spark):
     assert found.explained[0] == pytest.approx((s**2 / (s**2).sum())[:2])
 
 
-def test_gradient_equals_finite_differences():
-    layout = recurrent.Layout(3, 4, hidden=6, embedding=5)
-    flat, x = layout.initial(0), np.random.default_rng(8).normal(size=(7, 3, 4))
-    _, gradient = recurrent.loss_and_gradient(layout, flat, x)
-    for i in np.random.default_rng(9).integers(0, layout.size, 40):
-        shift = np.zeros(layout.size)
-        shift[i] = 1e-6
-        numeric = (recurrent.loss_and_gradient(layout, flat + shift, x)[0]
-                   - recurrent.loss_and_gradient(layout, flat - shift, x)[0]) / 2e-6
-        assert numeric == pytest.approx(gradient[i], abs=1e-7)
-    assert recurrent.Layout(6, 9).encoder_size == 55_616
-
-
-def sequences(spark, n=24):
-    rng = np.random.default_rng(10)
-    rows = [(f"m{i}", [[float(np.sin(i + t)), float(rng.normal() * 0.1)] for t in range(4)]) for i in range(n)]
-    return spark.createDataFrame(rows, "market string, sequence array<array<double>>")
-
-
-def test_training_lowers_the_loss_and_repeats(spark):
-    data = sequences(spark)
-    first = encoder.train(data, epochs=12, rate=5e-3)
-    assert np.mean(first.losses[-3:]) < 0.8 * np.mean(first.losses[:3])
-    again = encoder.train(data, epochs=2, rate=5e-3)
-    assert again.losses == pytest.approx(first.losses[:2])
-    embedded = encoder.embed(data, first).collect()
-    assert len(embedded) == 24 and all(len(r.embedding) == 32 for r in embedded)
-
-
-def test_shards_are_averaged(spark):
-    trained = encoder.train(sequences(spark), epochs=4, rate=5e-3, rows_per_shard=8)
-    assert len(trained.losses) == 4 and trained.losses[-1] < trained.losses[0] * 1.2
-
-
 def test_segmentation_run_is_stored_and_repeatable(spark, small):
     warehouse = TpchWarehouse.of(spark, small)
     target = new_path(spark, "segments")
-    settings = Settings(clusters=3, embedding="pca")
+    settings = Settings(clusters=3)
     result = run_segmentation(warehouse, settings, dt.date(2024, 5, 6), target)
     stored = scan(spark, target).toPandas()
     assert sorted(stored.MarketNameKey) == sorted(r.market for r in result.segments.collect())
@@ -163,11 +182,11 @@ def test_segmentation_run_is_stored_and_repeatable(spark, small):
     again = scan(spark, target).toPandas()
     assert len(again) == len(stored) and set(again.ModelVersion) == {"lstm_hybrid_v2.0_20240507"}
     with pytest.raises(ValueError):
-        run_segmentation(warehouse, Settings(sequence_length=99, embedding="pca"))
+        run_segmentation(warehouse, Settings(sequence_length=99))
 
 
 def test_segmentation_by_density(spark, small):
-    settings = Settings(method="dbscan", embedding="pca")
+    settings = Settings(method="dbscan")
     found = run_segmentation(TpchWarehouse.of(spark, small), settings).segments
     assert found.count() > 0 and found.where("segment < -1").count() == 0
 
@@ -203,3 +222,28 @@ def test_csv_round_trip(spark):
     path = write_csv(df, new_path(spark, "csv"), "result", dt.datetime(2024, 1, 2, 3, 4, 5))
     assert path.endswith("result_20240102_030405.csv")
     assert sorted(map(str, read_csv(spark, path).collect())) == sorted(map(str, df.collect()))
+
+
+def test_broken_csv_records_come_back_with_their_reason(spark):
+    from pyspark.sql import types as T
+
+    path = new_path(spark, "broken-csv")
+    text = ['id,name,amount', '1,"a ""b"", c",1.5', '2,b', '3,c,many', ',d,4', '5,,', '6,e,7,8', '7,"x']
+    spark.createDataFrame([("\n".join(text),)], "value string").coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("name", T.StringType()), T.StructField("amount", T.DoubleType())])
+    good, rejects = read_csv_checked(spark, path, schema)
+    assert sorted(map(tuple, good.collect())) == [(1, 'a "b", c', 1.5), (5, None, None)]
+    reasons = {r.record: r.reason for r in rejects.collect()}
+    assert reasons['2,b'] == reasons['6,e,7,8'] == "wrong number of values"
+    assert reasons['3,c,many'] == "amount is not double: many" and reasons[',d,4'] == "id is empty"
+    assert len(reasons) == 5
+
+
+def test_a_csv_file_without_line_breaks_in_quotes_is_split(spark):
+    path = write_csv(spark.range(60_000).select("id", F.repeat(F.lit("x"), 40).alias("t")).coalesce(1), new_path(spark, "split"), "big")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        assert read_csv(spark, path).rdd.getNumPartitions() > 3 and read_csv(spark, path).count() == 60_000
+        assert read_csv(spark, path, multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -95,3 +95,35 @@ def test_verdict(spark):
     assert quality.any_issue(ok).first()[0] is False
     assert quality.any_issue(ok.withColumn("status", F.lit("ISSUE"))).first()[0] is True
     assert quality.any_issue(ok.limit(0)).first()[0] is False
+
+
+def test_compiled_rules_equal_the_single_checks(spark, small):
+    from merkato.operators import report
+    from merkato.plans.catalog.quality import FaultyWarehouse
+    from merkato.sources.tpch import TpchWarehouse
+
+    wh = FaultyWarehouse(TpchWarehouse.of(spark, small))
+    single = [
+        quality.fact_to_bridge(wh), quality.bridge_to_product(wh), quality.fact_to_dimensions(wh), quality.bridge_to_offer(wh),
+        quality.active_checks(wh), quality.overlap_checks(wh), quality.open_end_checks(wh), quality.date_key_format(wh.table("DimTime")),
+        quality.duplicate_date_keys(wh.table("DimTime")), quality.bridge_activity(wh.table("BridgeProductSpecialOffer")),
+        quality.duplicate_surrogates(wh), quality.domain_checks(wh.table("DimCustomer"), wh.table("DimSpecialOffer"))]
+    expected = sorted(tuple(r) for df in single for r in df.collect())
+    found = sorted(tuple(r) for r in quality.full_report(wh).collect())
+    assert found == expected and all(n > 0 for _, n, _ in found)
+    with pytest.raises(ValueError):
+        report.run_rules(wh, [report.Unique("wide", "DimTime", ["Day", "Month", "Year"])])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sketches_merge_within_their_error(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i % 7, rng.gauss(0, 1) if i % 3 else 0.25, None if i % 5 else i) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "g int, x double, n long")
+    merged = quality.merged_sketches(quality.quantile_sketches(df, ["x", "n"], ["g"]), ["x", "n"])
+    for sketches in (merged, quality.quantile_sketches(df.repartition(5), ["x", "n"])):
+        found = quality.sketched_quantiles(sketches, ["x", "n"], probabilities=(0.01, 0.25, 0.5, 0.9))
+        assert {(r.column_name, r["values"]) for r in found.collect()} == {("x", 30_000), ("n", 6_000)}
+        assert all(r.error <= quality.RANK_ERROR for r in quality.rank_errors(df, found).collect())
+    empty = quality.quantile_sketches(df.limit(0), ["x"])
+    assert [r.quantile for r in quality.sketched_quantiles(empty, ["x"]).collect()] == [None] * 3
