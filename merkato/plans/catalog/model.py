@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from merkato import schemas
 from merkato.operators import clustering, density, encoder, kmeans, series, star, summaries
 from merkato.operators import features as feat
 from merkato.plans.catalog.decide import REPRESENTATIVES, _CATEGORIES
 from merkato.plans.catalog.registry import labelled, query, r, rounded
 from merkato.plans.catalog.windows import _NUMERIC
 from merkato.plans.segmentation import Settings, market_sequences, run_segmentation
-from merkato.session import store
+from merkato.session import new_path, store
+from merkato.sources.tables import scan
 from merkato.sources.tpch import source
 
 
@@ -207,6 +211,23 @@ def _(spark, folder):
     return placed.select("vec_id", *[F.col(c)[i].alias(f"{c}{i + 1}") for c in ("pc", "explained") for i in range(2)])
 
 
+@query("M10_projection_total", f"""
+SELECT count(*) AS points, {r('sum(total)', 4)} AS total, 1.0::DOUBLE AS explained FROM (
+  SELECT list_sum(list_transform(list_zip(embedding, mean), lambda x: (CAST(x[1] AS DOUBLE) - x[2]) ** 2)) AS total
+  FROM embeddings, (SELECT list(m ORDER BY i) AS mean FROM (
+    SELECT i, avg(CAST(e AS DOUBLE)) AS m FROM (SELECT unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings)
+    GROUP BY 1)))""", source=True)
+def _(spark, folder):
+    # All components together keep every distance from the mean.
+    points = _points(spark, folder).select("vec_id", "embedding")
+    width = points.agg(F.max(F.size("embedding"))).first()[0]
+    placed = clustering.project(points, "embedding", width)
+    add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    squares = add(F.transform("pc", lambda x: x * x))
+    return rounded(placed.agg(F.count("*").alias("points"), F.sum(squares).alias("total"), F.max(add(F.col("explained"))).alias("explained")),
+                   ["total", "explained"], 4)
+
+
 def sequences_of(wh):
     static = feat.static_features(feat.static_rows(wh))
     return store(market_sequences(series.market_series(wh), static, Settings()), "sequences")
@@ -221,6 +242,18 @@ def _(wh):
     return _exploded(encoder.principal_embedding(sequences_of(wh)))
 
 
+@query("M13_embedding_total", f"""
+SELECT count(DISTINCT market) AS markets, {r('sum((v - m) ** 2)', 2)} AS total FROM (
+  SELECT market, v, avg(v) OVER (PARTITION BY step, feature) AS m FROM (
+    UNPIVOT (SELECT market, step, {_scaled(series.STEP_FEATURES, '(SELECT * FROM steps SEMI JOIN static USING (market))')})
+    ON {', '.join(series.STEP_FEATURES)} INTO NAME feature VALUE v))""")
+def _(wh):
+    # There are fewer markets than numbers in an embedding, so it keeps every distance from the mean.
+    squares = F.aggregate(F.transform("embedding", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, x: a + x)
+    embedded = encoder.principal_embedding(sequences_of(wh))
+    return rounded(embedded.agg(F.count_distinct("market").alias("markets"), F.sum(squares).alias("total")), ["total"], 2)
+
+
 @query("M14_confidence", "SELECT round(avg(CASE WHEN own_size = 1 THEN 0 ELSE (nearest - own) / greatest(nearest, own) END), 4)"
        """ AS confidence FROM (
   SELECT a, max(CASE WHEN label = mine THEN total / nullif(n - 1, 0) END) AS own,
@@ -237,6 +270,18 @@ def _(wh):
     return run_segmentation(wh, Settings()).segments
 
 
+@query("M15_stored_segments", "SELECT datekey, market AS marketnamekey, CAST(revenue AS DOUBLE) AS revenue, quantity, "
+       "CASE WHEN revenue < 10000 THEN 'Low' WHEN revenue < 50000 THEN 'Medium' ELSE 'High' END AS productrange, true AS known_segment, "
+       "true AS scored, 'lstm_hybrid_v2.0_20240507' AS modelversion FROM latest SEMI JOIN steps USING (market) SEMI JOIN static USING (market)")
+def _(wh):
+    target = new_path(wh.spark, "segments")
+    for day in (6, 7):  # the second run takes the place of the first
+        run_segmentation(wh, Settings(), dt.date(2024, 5, day), target)
+    return scan(wh.spark, target, schemas.TABLES["FactMarketSegmentation"]).select(
+        "DateKey", "MarketNameKey", "Revenue", "Quantity", "ProductRange", F.col("SegmentID").between(0, 4).alias("known_segment"),
+        F.col("ConfidenceScore").between(-1, 1).alias("scored"), "ModelVersion")
+
+
 @query("M16_row_segmentation")
 def _(wh):
     return _segmented(wh)

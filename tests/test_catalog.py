@@ -16,7 +16,10 @@ USUAL = [
     "A19_quantiles_of_rows", "A22_cluster_profile", "W3_last_steps", "W6_sequences", "W7_top_deviations",
     "R4_dense_clusters", "M1_standardize", "M4_hybrid_vector", "M6_dbscan_wide", "M7_silhouette", "M9_representatives",
     "D7_recommendations", "D8_platform_actions", "D10_strategy_bucket", "Q_full_report", "Q14_distribution",
-    "L1_versioned_merge", "L2_fixed_load", "L7_customer_dimension", "L9_sales_facts", "L9_rejected_sales",
+    "L1_stored_batches", "J11_as_of_overlaps", "J11_as_of_merge", "L9_second_batch", "L7_second_batch", "A1_distinct_over_months",
+    "J7_recent_periods", "Q_planted_faults", "Q14_sketched_quantiles", "S2_csv_rejects", "S3_replaced_table", "M3_one_hot_entries",
+    "A18_encoded_mean_rows", "M5_cost_identity", "M8_fitted_centres", "M10_projection_total", "M13_embedding_total",
+    "M15_stored_segments", "M16_segmented_rows", "L1_versioned_merge", "L2_fixed_load", "L7_customer_dimension", "L9_sales_facts", "L9_rejected_sales",
 ]
 NAMES = sorted(SQL) if os.environ.get("MERKATO_ALL_QUERIES") else USUAL
 
