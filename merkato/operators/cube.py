@@ -31,8 +31,8 @@ KINDS = {
 }
 _CELL = ["market", "year", "month"]
 _NUMBERS = "kind string, id long, name string, number long"
-_SETS = "market string, year int, month int, kind string, bucket long, bits binary, SaleMonth int"
-_SUMS = ("market string, year int, month int, datekey long, revenue decimal(38,2), quantity long, lines long, SaleMonth int")
+_SETS = "market string, year int, month int, kind string, bucket long, bits binary, SaleMonth int, SaleYear int"
+_SUMS = ("market string, year int, month int, datekey long, revenue decimal(38,2), quantity long, lines long, SaleMonth int, SaleYear int")
 
 
 def month_rows(wh, months: list[int]) -> DataFrame:
@@ -106,8 +106,13 @@ class MonthCube:
         # The sums come last: a month is in the cube once it is there, so a refresh that failed is simply repeated.
         for name, part, schema in (("sets", sets, _SETS), ("sums", sums, _SUMS)):
             typed = self.wh.spark.createDataFrame([], schema).schema
-            part.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in typed]).hint("rebalance", "SaleMonth").write.mode(
-                "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("SaleMonth").parquet(f"{self.path}/{name}")
+            fresh = part.withColumn("SaleYear", (F.col("SaleMonth") / 100).cast("int")).select(
+                *[F.col(f.name).cast(f.dataType).alias(f.name) for f in typed])
+            # Files are by year, as a month's are small: the year's other months are copied, not computed.
+            years = sorted({month // 100 for month in months})
+            rest = self._read(name, schema).where(F.col("SaleYear").isin(years) & ~F.col("SaleMonth").isin(months))
+            store(fresh.unionByName(rest), name).repartition(len(years), "SaleYear").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("SaleYear").parquet(f"{self.path}/{name}")
         return sorted(months)
 
     @staticmethod
@@ -129,20 +134,21 @@ class MonthCube:
         numbered = number_rows(new, [F.col(c) for c in ("kind", "first", "id", "name")], "number", last + 1)
         numbered.select("kind", "id", "name", "number").write.mode("append").parquet(f"{self.path}/numbers")
 
+    @staticmethod
+    def _within(rows: DataFrame, months: list[int] | None) -> DataFrame:
+        if months is None:
+            return rows
+        return rows.where(F.col("SaleYear").isin(sorted({m // 100 for m in months})) & F.col("SaleMonth").isin(months))
+
     def distinct_counts(self, by: list[str], months: list[int] | None = None) -> DataFrame:
         """Exact distinct counts for any of market, year and month, over all months or only some (YYYYMM)."""
-        sets = self.sets()
-        if months is not None:
-            sets = sets.where(F.col("SaleMonth").isin(months))
-        merged = sets.groupBy(*by, "kind", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+        merged = self._within(self.sets(), months).groupBy(*by, "kind", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
         return merged.groupBy(*by).agg(*[
             F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(kind) for kind in KINDS])
 
     def metrics(self, months: list[int] | None = None) -> DataFrame:
-        """The rows of ``series.period_metrics`` by month; only the given months' partitions are read."""
-        sums = self.sums()
-        if months is not None:
-            sums = sums.where(F.col("SaleMonth").isin(months))
+        """The rows of ``series.period_metrics`` by month; only the given months are read, and only from their years' files."""
+        sums = self._within(self.sums(), months)
         names = {"datekey": "long", "revenue": "decimal(38,2)", "quantity": "long", "lines": "long", **dict.fromkeys(KINDS, "long")}
         parts = [part.select(*_CELL, *[(F.col(c) if c in part.columns else F.lit(None)).cast(t).alias(c) for c, t in names.items()])
                  for part in (sums, self.distinct_counts(_CELL, months))]

@@ -127,7 +127,7 @@ def market_series(wh, lookback: int = 12, grain: str = "month") -> DataFrame:
 
 
 def recent_metrics(wh, lookback: int = 12) -> DataFrame:
-    """Metrics of the latest ``lookback`` months, from their partitions of the cube alone."""
+    """Metrics of the latest ``lookback`` months, from the cube's files of their years alone."""
     cube = MonthCube.of(wh)
     metrics = cube.metrics(cube.months()[-lookback:] if lookback > 0 else [])
     return within_periods(metrics, recent_periods(metrics, lookback))
