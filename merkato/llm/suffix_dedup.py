@@ -7,11 +7,12 @@ inside it with the smallest hash, the leftmost of equals. Equal windows have the
 Neighbouring starts with one anchor place form a segment, so a text has about one segment per 85 bytes.
 
 1. Anchors that occur once are dropped (counted before they are exchanged). What is left is stored.
-2. A segment whose bytes occur again as a segment of the same anchor is repeated as a whole.
-3. Where an anchor has different segments, their bytes are fetched, one of each kind, and sorted: the suffix array of
-   the segments of an anchor, whose neighbours share ``length`` bytes where a window is repeated. An anchor with
-   more than ``crowd`` kinds (a passage that a third of all documents share, each in another place) is not
-   sorted in one task: its windows are counted by digest instead, which combines before the exchange.
+2. Segments with the same bytes are of one kind. The bytes of each kind of an anchor are fetched, once for a kind that
+   occurs once and twice for one that occurs more often, and sorted: the suffix array of the segments of an
+   anchor, whose neighbours share ``length`` bytes where a window is repeated.
+3. The spans so found in a kind are those of all its segments. An anchor with more than ``crowd`` kinds (a passage
+   that a third of all documents share, each in another place) is not sorted in one task: its windows are
+   counted by digest instead, which combines before the exchange.
 
 The suffix array is built by grouping (Baier 2016): suffixes are grouped by their first byte; groups are
 processed from the largest down, each suffix points to the nearest earlier one of a smaller group, and the
@@ -39,6 +40,8 @@ from merkato.llm.common import ship, store
 LENGTH = 200
 #: Bytes of an anchor, kinds of segments of one anchor that are sorted in one task, bytes hashed at a time.
 GRAM, CROWD, CHUNK = 32, 2048, 1 << 22
+#: A suffix that points nowhere yet.
+UNKNOWN = -2
 
 
 def _window_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -106,23 +109,32 @@ def suffix_array(text: list[int]) -> list[int]:
         place[i] = g + free[g]
         free[g] += 1
         order[place[i]] = i
-    before = [-1] * n
+    before = [UNKNOWN] * n
 
     # Groups from the largest down; a split only makes groups below the one in hand smaller.
     end = n
     while end > 0:
         current = group[order[end - 1]]
         pointed: dict[int, int] = {}
-        for i in sorted(order[current:end]):
-            j = i - 1
+        for i in order[current:end]:
+            if before[i] != UNKNOWN:
+                continue
+            # Members of the group passed on the way have no pointer yet; all of them get the same one.
+            passed, j = [i], i - 1
             while j >= 0 and group[j] >= current:
-                j = before[j]
-            before[i] = j
+                if before[j] == UNKNOWN:
+                    passed.append(j)
+                    j -= 1
+                else:
+                    j = before[j]
+            for k in passed:
+                before[k] = j
             if j >= 0:
-                pointed[j] = pointed.get(j, 0) + 1
+                pointed[j] = pointed.get(j, 0) + len(passed)
         by_count: dict[int, dict[int, list[int]]] = {}
         for j, count in pointed.items():
             by_count.setdefault(count, {}).setdefault(group[j], []).append(j)
+        # A group of m suffixes has fewer than the root of 2m different counts, so ordering them is less than m steps.
         for count in sorted(by_count, reverse=True):
             for old, moved in by_count[count].items():
                 keep = size[old] - len(moved)
@@ -308,7 +320,7 @@ def _with_lists(docs: DataFrame, rows: DataFrame, name: str, how: str) -> DataFr
 
 
 def _cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of the wanted segments: ``(anchor, offset, raw, single, doc_id, check, first)``."""
+    """The bytes of the wanted segments: ``(anchor, digest, offset, raw, single)``."""
     def run(batches):
         for batch in batches:
             rows = []
@@ -319,24 +331,36 @@ def _cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     hashes = _gram_hashes(np.frombuffer(part, np.uint8), GRAM).view(np.int64)
                     # All windows of the segment hold the anchor; of equal strings it is the leftmost they all hold.
                     offset = at["count"] - 1 + int(np.flatnonzero(hashes[at["count"] - 1:] == at["anchor"])[0])
-                    rows.append((at["anchor"], offset, part, at["single"], row["doc_id"], row["check"], at["first"]))
-            names = ["anchor", "offset", "raw", "single", "doc_id", "check", "first"]
-            types = [pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.int64(), pa.int32(), pa.int32()]
+                    rows.append((at["anchor"], at["digest"], offset, part, at["single"]))
+            names = ["anchor", "digest", "offset", "raw", "single"]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
             for k in range(0, max(len(rows), 1), 4096):
-                columns = list(zip(*rows[k:k + 4096], strict=True)) or [[]] * 7
+                columns = list(zip(*rows[k:k + 4096], strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return _with_lists(docs, wanted, "wanted", "inner").mapInArrow(
-        run, "anchor long, offset int, raw binary, single boolean, doc_id long, check int, first int")
+        run, "anchor long, digest long, offset int, raw binary, single boolean")
+
+
+SPANS = "anchor long, digest long, low int, high int"
+
+
+def _span_table(made: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*made, strict=True)) or [[]] * 4
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                      names=["anchor", "digest", "low", "high"])
 
 
 def _sorted_spans(cut: DataFrame, length: int) -> DataFrame:
-    """Repeated spans from the suffix arrays of anchors; a task's rows come in order of anchor."""
+    """Repeated spans of kinds from the suffix arrays of anchors; a task's rows come in order of anchor."""
     def spans(group):
-        for row, marks in zip(group, repeated_starts([(r["offset"], r["raw"]) for r in group], length), strict=True):
-            if row["single"]:
-                for a, b in _runs(marks):
-                    yield row["doc_id"], row["check"], row["first"] + a, row["first"] + b + length - 1
+        # A kind that occurs again stands beside a copy of itself.
+        rows = [(r["offset"], r["raw"]) for r in group]
+        rows += [(r["offset"], r["raw"]) for r in group if not r["single"]]
+        for row, marks in zip(group, repeated_starts(rows, length), strict=False):
+            for a, b in _runs(marks):
+                yield row["anchor"], row["digest"], a, b + length - 1
 
     def run(batches):
         group, made = [], []
@@ -347,42 +371,38 @@ def _sorted_spans(cut: DataFrame, length: int) -> DataFrame:
                     group = []
                 group.append(row)
             if len(made) > 4096:
-                yield table(made)
+                yield _span_table(made)
                 made = []
         if group:
             made += spans(group)
-        yield table(made)
-
-    def table(made):
-        columns = list(zip(*made, strict=True)) or [[]] * 4
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                                          names=["doc_id", "check", "low", "high"])
+        yield _span_table(made)
 
-    return cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        run, "doc_id long, check int, low int, high int")
+    return cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, SPANS)
 
 
 def _counted_spans(cut: DataFrame, length: int) -> DataFrame:
-    """Repeated spans of crowded anchors: every window by digest, counted, and found again."""
+    """Repeated spans of kinds of crowded anchors: every window by digest, counted, and found again."""
     def run(batches):
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
                 raw = row["raw"]
-                rows += [(row["anchor"], hashlib.blake2b(raw[k:k + length], digest_size=16).digest(), row["single"],
-                          row["doc_id"], row["check"], row["first"] + k) for k in range(len(raw) - length + 1)]
-            names = ["anchor", "window", "single", "doc_id", "check", "low"]
-            types = [pa.int64(), pa.binary(), pa.bool_(), pa.int64(), pa.int32(), pa.int32()]
+                rows += [(row["anchor"], row["digest"], hashlib.blake2b(raw[k:k + length], digest_size=16).digest(),
+                          1 if row["single"] else 2, k) for k in range(len(raw) - length + 1)]
+            names = ["anchor", "digest", "window", "times", "low"]
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32()]
             for k in range(0, max(len(rows), 1), 8192):
-                columns = list(zip(*rows[k:k + 8192], strict=True)) or [[]] * 6
+                columns = list(zip(*rows[k:k + 8192], strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    windows = cut.repartition("anchor", "doc_id", "first").mapInArrow(
-        run, "anchor long, window binary, single boolean, doc_id long, check int, low int")
-    again = windows.groupBy("anchor", "window").count().where("count > 1").select("anchor", "window")
-    return windows.where("single").join(again, ["anchor", "window"]).select(
-        "doc_id", "check", "low", (F.col("low") + length).alias("high"))
+    windows = cut.repartition("anchor", "digest").mapInArrow(
+        run, "anchor long, digest long, window binary, times long, low int")
+    again = windows.groupBy("anchor", "window").agg(F.sum("times").alias("n")).where("n > 1").select("anchor", "window")
+    # A kind's windows are at most those of its anchor's reach; neighbours among them become one span again.
+    found = windows.join(again, ["anchor", "window"]).groupBy("anchor", "digest").agg(F.array_sort(F.collect_list("low")).alias("lows"))
+    place = F.posexplode("lows").alias("k", "low")
+    return found.select("anchor", "digest", place).groupBy("anchor", "digest", (F.col("low") - F.col("k")).alias("run")).agg(
+        F.min("low").alias("low"), (F.max("low") + length).cast("int").alias("high")).drop("run")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
@@ -391,18 +411,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD) ->
     twice = store(_anchors(docs, length, False).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     rows = store(_anchors(docs, length, True).join(twice, "anchor"), "segments")
     kinds = store(rows.groupBy("anchor", "digest").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "check", "first", "count")).alias("at")), "kinds")
-    whole = rows.join(kinds.where("n > 1").select("anchor", "digest"), ["anchor", "digest"]).select(
-        "doc_id", "check", F.col("first").alias("low"), (F.col("first") + F.col("count") + length - 1).alias("high"))
-    anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
-    open_anchors = anchors.where("kinds > 1 AND least = 1").select("anchor", (F.col("kinds") > crowd).alias("crowded"))
-    wanted = store(kinds.join(open_anchors, "anchor").select(
-        "anchor", "crowded", (F.col("n") == 1).alias("single"), "at.*"), "wanted")
-    crowded = store(wanted.where("crowded").select("anchor").distinct(), "crowded")
-    cut = store(_cut(docs, wanted.drop("crowded"), length), "cut")
-    calm = cut.join(crowded, "anchor", "left_anti")
-    return whole.unionByName(_sorted_spans(calm, length)).unionByName(
+        (F.count("*") == 1).alias("single"), F.min(F.struct("doc_id", "check", "first", "count")).alias("at")), "kinds")
+    crowded = store(kinds.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "crowded")
+    cut = store(_cut(docs, kinds.select("anchor", "digest", "single", "at.*"), length), "cut")
+    spans = _sorted_spans(cut.join(crowded, "anchor", "left_anti"), length).unionByName(
         _counted_spans(cut.join(crowded, "anchor", "left_semi"), length))
+    return rows.join(store(spans, "kind-spans"), ["anchor", "digest"]).select(
+        "doc_id", "check", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
