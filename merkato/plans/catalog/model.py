@@ -282,6 +282,28 @@ def _(wh):
         F.col("ConfidenceScore").between(-1, 1).alias("scored"), "ModelVersion")
 
 
+_CLUSTERED = "latest SEMI JOIN steps USING (market) SEMI JOIN static USING (market)"
+
+
+@query("M15_segment_statistics", "SELECT CAST(5 AS BIGINT) AS segments, count(*) AS markets, true AS same_markets, CAST(sum(revenue) AS DOUBLE) "
+       f"AS revenue, CAST(sum(quantity) AS DOUBLE) AS quantity FROM {_CLUSTERED}")
+def _(wh):
+    result = run_segmentation(wh, Settings())
+    beside = result.statistics().join(result.distribution().select("segment", F.col("markets").alias("listed")), "segment")
+    return rounded(beside.agg(
+        F.count("*").alias("segments"), F.sum("markets").alias("markets"), F.bool_and(F.col("markets") == F.col("listed")).alias("same_markets"),
+        F.sum("revenue_sum").alias("revenue"), F.sum("quantity_sum").alias("quantity")), ["revenue", "quantity"], 2)
+
+
+@query("M15_segment_projection", "SELECT count(*) AS markets, CAST(sum(revenue) AS DOUBLE) AS revenue, 0.0::DOUBLE AS pc1, 0.0::DOUBLE AS pc2, "
+       f"true AS widest_first FROM {_CLUSTERED}")
+def _(wh):
+    placed = run_segmentation(wh, Settings()).projection()
+    wide = (F.var_samp("pc1") >= F.var_samp("pc2")) & (F.max("explained1") >= F.max("explained2"))
+    return rounded(placed.agg(F.count("*").alias("markets"), F.sum("revenue").cast("double").alias("revenue"), F.avg("pc1").alias("pc1"),
+                              F.avg("pc2").alias("pc2"), wide.alias("widest_first")), ["pc1", "pc2"], 3)
+
+
 @query("M16_row_segmentation")
 def _(wh):
     return _segmented(wh)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merkato.functions.ordering import number_rows
-from merkato.operators import clustering, density, encoder, kmeans, series
+from merkato.operators import clustering, density, encoder, kmeans, series, summaries
 from merkato.operators import features as feat
 from merkato.session import store
 from merkato.sources.tables import require_rows, upsert_segments
@@ -37,6 +37,19 @@ class Segmentation:
     score: float
     score_form: str = "euclidean"
 
+    def statistics(self) -> DataFrame:
+        """One row per segment: markets, and mean, sum and deviation of revenue and quantity."""
+        return summaries.segment_statistics(self.segments)
+
+    def distribution(self) -> DataFrame:
+        return summaries.segment_distribution(self.segments)
+
+    def projection(self) -> DataFrame:
+        """``(market, segment, revenue, pc1, pc2, explained1, explained2)``: the clustered vectors on their two widest axes."""
+        placed = clustering.project(self.vectors.select("market", "vector"), "vector", 2).select(
+            "market", *[F.col(c)[i].alias(f"{c}{i + 1}") for c in ("pc", "explained") for i in range(2)])
+        return self.segments.select("market", "segment", "revenue").join(placed, "market")
+
 
 def market_sequences(market_series: DataFrame, static: DataFrame, settings: Settings) -> DataFrame:
     """Standardised sequences of the markets with enough periods and static features."""
