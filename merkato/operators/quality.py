@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,18 +205,20 @@ def null_counts(df: DataFrame, table: str) -> DataFrame:
     return counts.unpivot([], df.columns, "column_name", "nulls").select(F.lit(table).alias("table_name"), "*")
 
 
+def column_mean(df: DataFrame, c: str) -> Column:
+    """Mean of a number, exact up to the division where its type is."""
+    if isinstance(df.schema[c].dataType, T.FractionalType):
+        return F.avg(c) if not isinstance(df.schema[c].dataType, T.DecimalType) else X.ratio(F.sum(c), F.count(c))
+    return X.ratio(F.sum(F.col(c).cast("decimal(38,0)")), F.count(c))
+
+
 def distribution(df: DataFrame, table: str) -> DataFrame:
     """Count, range, mean, sample deviation and exact quartiles of the numeric columns."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
-    def mean(c: str):
-        if isinstance(df.schema[c].dataType, T.FractionalType):
-            return F.avg(c) if not isinstance(df.schema[c].dataType, T.DecimalType) else X.ratio(F.sum(c), F.count(c))
-        return X.ratio(F.sum(F.col(c).cast("decimal(38,0)")), F.count(c))
-
     stats = df.agg(*[F.struct(
         F.count(c).alias("values"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-        mean(c).alias("mean"),
+        column_mean(df, c).alias("mean"),
         F.stddev_samp(F.col(c).cast("double")).alias("std"),
     ).alias(c) for c in numeric]).unpivot([], numeric, "column_name", "s")
     quartiles = exact_quantiles(df, numeric, [0.25, 0.5, 0.75]).groupBy("column_name").agg(*[

@@ -13,12 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merkato import schemas
 from merkato.functions import expressions as X
 from merkato.operators import quality
 from merkato.sources.tables import union_all
 
+#: Numbers in a column's profile.
+PROFILE = ["min", "max", "mean", "std", "p25", "p50", "p75"]
 #: Most columns of a key.
 KEY_COLUMNS = 2
 
@@ -99,6 +102,31 @@ def null_rules(tables: list[str]) -> list[Rows]:
             for table in tables for column in schemas.TABLES[table].fieldNames()]
 
 
+def table_profile(df: DataFrame, table: str) -> DataFrame:
+    """One row per column, from one scan: NULLs, values, and for numbers range, mean, sample deviation and quartiles.
+
+    Quartiles come from sketches, so their rank is within ``quality.RANK_ERROR``; ``quality.distribution`` has exact ones.
+    """
+    def of(field) -> Column:
+        c = F.col(field.name)
+        parts = [F.lit(field.name).alias("column_name"), F.count_if(c.isNull()).alias("nulls"), F.count(c).alias("values")]
+        if isinstance(field.dataType, T.NumericType):
+            x, sketch = c.cast("double"), F.kll_sketch_agg_double(c.cast("double"), quality.SKETCH)
+            numbers = [F.min(x), F.max(x), quality.column_mean(df, field.name), F.stddev_samp(x),
+                       *[F.when(F.count(c) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(p))) for p in (0.25, 0.5, 0.75)]]
+        else:
+            numbers = [F.lit(None)] * len(PROFILE)
+        return F.struct(*parts, *[n.cast("double").alias(name) for name, n in zip(PROFILE, numbers, strict=True)])
+
+    return df.agg(F.array(*[of(f) for f in df.schema.fields]).alias("e")).select(F.explode("e").alias("e")).select(
+        F.lit(table).alias("table_name"), "e.*")
+
+
+def table_profiles(wh, tables: list[str]) -> DataFrame:
+    """``table_profile`` of the declared columns of each table."""
+    return union_all([table_profile(wh.table(t).select(*schemas.TABLES[t].fieldNames()), t) for t in tables])
+
+
 def run_rules(wh, rules: list = RULES) -> DataFrame:
     """One row ``(check_name, issues, status)`` per rule."""
     numbered = list(enumerate(rules))

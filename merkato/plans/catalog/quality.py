@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merkato import schemas
-from merkato.operators import quality, star
+from merkato.operators import quality, report, star
 from merkato.plans.catalog.registry import query, r, rounded
 from merkato.session import store
 from merkato.sources.tables import union_all
@@ -271,3 +271,21 @@ _NULLS = " UNION ALL ".join(
        ctes=", ".join(map(_faulty_cte, _FAULTS)))
 def _(wh):
     return quality.full_report(FaultyWarehouse(wh), nulls=list(_FAULTS))
+
+
+def _profiled(table: str, field: T.StructField) -> str:
+    c, name = field.name, _SQL_NAMES.get(table, "fact_sale")
+    numbers = (f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {r(f'CAST(sum({c}) AS DOUBLE) / count({c})', 3)} AS mean, "
+               f"{r(f'stddev_samp(CAST({c} AS DOUBLE))', 3)} AS std, count({c}) > 0 AS has_quartiles")
+    if not isinstance(field.dataType, T.NumericType):
+        numbers = "NULL::DOUBLE AS min, NULL::DOUBLE AS max, NULL::DOUBLE AS mean, NULL::DOUBLE AS std, false AS has_quartiles"
+    return f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS nulls, count({c}) AS values, {numbers} FROM bad_{name}"
+
+
+@query("Q13_table_profiles", " UNION ALL ".join(_profiled(t, f) for t in _FAULTS for f in schemas.TABLES[t].fields),
+       ctes=", ".join(map(_faulty_cte, _FAULTS)))
+def _(wh):
+    found = report.table_profiles(FaultyWarehouse(wh), list(_FAULTS))
+    ordered = F.coalesce((F.col("min") <= F.col("p25")) & (F.col("p25") <= F.col("p50")) & (F.col("p50") <= F.col("p75"))
+                         & (F.col("p75") <= F.col("max")), F.lit(False))
+    return rounded(found.withColumn("has_quartiles", ordered).drop("p25", "p50", "p75"), ["mean", "std"], 3)

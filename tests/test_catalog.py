@@ -17,7 +17,7 @@ USUAL = [
     "R4_dense_clusters", "M1_standardize", "M4_hybrid_vector", "M6_dbscan_wide", "M7_silhouette", "M9_representatives",
     "D7_recommendations", "D8_platform_actions", "D10_strategy_bucket", "Q_full_report", "Q14_distribution",
     "L1_stored_batches", "J11_as_of_overlaps", "J11_as_of_merge", "L9_second_batch", "L7_second_batch", "A1_distinct_over_months",
-    "J7_recent_periods", "Q_planted_faults", "Q14_sketched_quantiles", "S2_csv_rejects", "S3_replaced_table", "M3_one_hot_entries",
+    "J7_recent_periods", "Q_planted_faults", "Q13_table_profiles", "Q14_sketched_quantiles", "S2_csv_rejects", "S3_replaced_table", "M3_one_hot_entries",
     "A18_encoded_mean_rows", "M5_cost_identity", "M8_fitted_centres", "M10_projection_total", "M13_embedding_total",
     "M15_stored_segments", "M15_segment_statistics", "M15_segment_projection", "M16_segmented_rows", "A6_fitted_summary",
     "A14_fitted_countries", "A16_fitted_shares", "A22_fitted_profile", "D8_fitted_decisions", "L1_versioned_merge", "L2_fixed_load", "L7_customer_dimension", "L9_sales_facts", "L9_rejected_sales",
