@@ -6,6 +6,10 @@ blanks) is compressed with both; the distance is how many bytes the toxic dictio
 largest distances and its share of windows over the thresholds go into a logistic calibration, fitted on
 labelled rows that trained no dictionary.
 
+Choosing the toxic dictionary's words by fragments departs from training it on toxic text as it is, and windows are single
+words: toxic documents are ordinary text but for a few words, and dictionaries trained on all of it hardly differ.
+The README gives figures for both.
+
 Only a bounded sample of labelled rows trains (``SAMPLE``, chosen by a hash of the id, whole texts); rows whose
 crc32 of the id is 2 modulo 4 are held out from all of it. Every document is scored, whole. Workers remember the
 distance of up to ``REMEMBERED`` words.

@@ -523,6 +523,36 @@ def test_long_transcripts_are_cut_without_loss(spark):
         assert score(states, shown) == pytest.approx(score(model.viterbi(shown).tolist(), shown))
 
 
+def test_viterbi_finds_the_best_of_all_paths():
+    """Every sequence of states of short transcripts, also between a given state before them and one at their end."""
+    import itertools
+
+    rng = np.random.default_rng(12)
+    looks = [f"{marker}|{size}|{question}" for marker in ("", "user", "assistant") for size in (1, 3) for question in (0, 1)]
+    roles = ["assistant", "user"]
+    shows = [(r, b, w, int(rng.integers(0, 30))) for r in roles for b in (True, False) for w in looks[:-2]]
+    moves = [(r, b, s, c, int(rng.integers(0, 30))) for r in roles for b in (True, False) for s in roles for c in (True, False) if c or r == s]
+    model = chat_format.Model(roles, [("user", True, 9), ("assistant", True, 2)], moves, shows)
+    n = len(model.states)
+
+    def score(path, shown, entry):
+        emissions = model.emissions(shown)
+        first = model.start if entry < 0 else model.move[entry]
+        return first[path[0]] + sum(emissions[k, s] for k, s in enumerate(path)) + sum(
+            model.move[a, b] for a, b in zip(path, path[1:], strict=False))
+
+    for size in (1, 2, 4, 6):
+        for entry, leave in ((-1, -1), (2, -1), (-1, 1), (3, 0)):
+            shown = rng.choice(looks, size).tolist()
+            ends = range(n) if leave < 0 else [leave]
+            best = max(score((*path, end), shown, entry) for path in itertools.product(range(n), repeat=size - 1) for end in ends)
+            found = model.viterbi(shown, entry, leave).tolist()
+            assert score(found, shown, entry) == pytest.approx(best) and (leave < 0 or found[-1] == leave)
+            whole = model.transfer(shown, entry < 0)[max(entry, 0)]
+            assert whole.max() == pytest.approx(max(score((*path, end), shown, entry) for path in itertools.product(
+                range(n), repeat=size - 1) for end in range(n)))
+
+
 def test_chat_cases(spark):
     turns = spark.createDataFrame(
         [(1, 0, None, None), (1, 0, None, None), (None, 0, "user", "Human: hi"), (2, 0, "user", "[assistant] x\n\n**User**: y")],
