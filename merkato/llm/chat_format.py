@@ -151,16 +151,32 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
     parts = sliced.groupBy("conv_id").agg(F.min("slice").alias("first"), F.max("slice").alias("last"))
     parts = store(parts.where("first < last").select(F.col("conv_id").alias("long_id"), "first"), "long-transcripts")
     is_long = F.col("conv_id").eqNullSafe(F.col("long_id"))
-    found = "conv_id long, at long, state int"
-
-    def whole(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("at")
-        edges = np.flatnonzero(rows.conv_id.ne(rows.conv_id.shift()) & ~(rows.conv_id.isna() & rows.conv_id.shift().isna()))
-        shown = rows.shown.tolist()
-        ends = [*edges[1:], len(rows)] if len(edges) and edges[0] == 0 else [*edges, len(rows)]
-        begins = edges if len(edges) and edges[0] == 0 else [0, *edges]
-        states = np.concatenate([model.viterbi(shown[a:b]) for a, b in zip(begins, ends, strict=True)])
-        return pd.DataFrame({"conv_id": rows.conv_id, "at": rows["at"], "state": states})
+    found = "at long, state int"
+
+    def whole(batches):
+        """Rows in order, transcript by transcript; no more than one transcript waits for its end."""
+        waiting: list[pd.DataFrame] = []
+        made: list[pd.DataFrame] = []
+
+        def decoded():
+            rows = pd.concat(waiting)
+            return pd.DataFrame({"at": rows["at"], "state": model.viterbi(rows.shown.tolist())})
+
+        for batch in batches:
+            names = batch["name"].fillna("").tolist()
+            if not names:
+                continue
+            edges = [0, *[k for k in range(1, len(names)) if names[k] != names[k - 1]], len(names)]
+            for first, last in zip(edges, edges[1:], strict=False):
+                if waiting and names[first] != waiting[-1]["name"].iloc[-1]:
+                    made.append(decoded())
+                    waiting = []
+                waiting.append(batch.iloc[first:last].fillna({"name": ""}))
+            if made:
+                yield pd.concat(made)
+                made = []
+        if waiting:
+            yield decoded()
 
     def part(rows: pd.DataFrame) -> pd.DataFrame:
         shown = rows.sort_values("at").shown.tolist()
@@ -187,11 +203,12 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
     def between(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at")
         states = model.viterbi(rows.shown.tolist(), int(rows.entry.iloc[0]), int(rows.leave.iloc[0]))
-        return pd.DataFrame({"conv_id": rows.conv_id, "at": rows["at"], "state": states})
+        return pd.DataFrame({"at": rows["at"], "state": states})
 
-    short = sliced.join(parts, is_long, "left_anti").select("conv_id", "slice", "at", "shown")
+    # An id as text never is the empty one that stands for null.
+    short = sliced.join(parts, is_long, "left_anti").select(F.col("conv_id").cast("string").alias("name"), "slice", "at", "shown")
     long = store(sliced.join(parts, is_long).select("conv_id", "slice", "first", "at", "shown"), "long-lines")
-    states = short.groupBy("slice").applyInPandas(whole, found)
+    states = short.repartition("slice").sortWithinPartitions("at").mapInPandas(whole, found)
     scores = long.groupBy("conv_id", "slice").applyInPandas(part, "conv_id long, slice int, scores array<double>")
     ends = store(scores.groupBy("conv_id").applyInPandas(chain, "conv_id long, slice int, entry int, leave int"), "ends")
     same = F.col("conv_id").eqNullSafe(F.col("end_id")) & (F.col("slice") == F.col("end_slice"))
