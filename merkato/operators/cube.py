@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from merkato.functions import expressions as X
 from merkato.functions.ordering import number_rows
 from merkato.operators import star
-from merkato.session import new_path, store
+from merkato.session import beside_facts, new_path, store
 from merkato.sources.tables import union_all
 
 #: What is counted: the metric's name and the column of the projection.
@@ -100,9 +100,8 @@ class MonthCube:
         values = store(union_all([self._values(rows, cell, kind) for kind in KINDS]), "month-values")
         self._number(values)
         same = (F.col("v.kind") == F.col("n.kind")) & F.col("v.id").eqNullSafe(F.col("n.id")) & F.col("v.name").eqNullSafe(F.col("n.name"))
-        placed = values.alias("v").join(self.numbers().alias("n"), same).select("v.*", "n.number")
-        sets = placed.groupBy(*cell, "kind", F.bitmap_bucket_number("number").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+        placed = values.alias("v").join(beside_facts(self.numbers()).alias("n"), same).select("v.*", "n.number")
+        sets = self._bitmaps(placed, cell)
         # The sums come last: a month is in the cube once it is there, so a refresh that failed is simply repeated.
         for name, part, schema in (("sets", sets, _SETS), ("sums", sums, _SUMS)):
             typed = self.wh.spark.createDataFrame([], schema).schema
@@ -115,6 +114,16 @@ class MonthCube:
                 "partitionOverwriteMode", "dynamic").partitionBy("SaleYear").parquet(f"{self.path}/{name}")
         return sorted(months)
 
+    @staticmethod
+    def _bitmaps(placed: DataFrame, cell: list[str]) -> DataFrame:
+        """One bitmap per cell, kind and 32,768 numbers.
+
+        The numbers are exchanged and not bitmaps: any task has values of most cells, and would send 4 KB for each of these.
+        """
+        gathered = placed.withColumn("bucket", F.bitmap_bucket_number("number")).repartition(*cell, "kind", "bucket")
+        return gathered.groupBy(*cell, "kind", "bucket").agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+
     @staticmethod
     def _values(rows: DataFrame, cell: list[str], kind: str) -> DataFrame:
         column = KINDS[kind]
@@ -129,7 +138,7 @@ class MonthCube:
         last = known.agg(F.max("number")).first()[0] or 0
         new = values.groupBy("kind", "id", "name").agg(F.min(F.struct("SaleMonth", "market")).alias("first"))
         if last:
-            new = new.alias("v").join(known.alias("n"), (F.col("v.kind") == F.col("n.kind")) & F.col("v.id").eqNullSafe(F.col("n.id"))
+            new = new.alias("v").join(beside_facts(known).alias("n"), (F.col("v.kind") == F.col("n.kind")) & F.col("v.id").eqNullSafe(F.col("n.id"))
                                       & F.col("v.name").eqNullSafe(F.col("n.name")), "left_anti")
         numbered = number_rows(new, [F.col(c) for c in ("kind", "first", "id", "name")], "number", last + 1)
         numbered.select("kind", "id", "name", "number").write.mode("append").parquet(f"{self.path}/numbers")
