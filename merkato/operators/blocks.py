@@ -90,10 +90,48 @@ def block_pairs(batches):
             yield row["same"], left, right
 
 
-def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances from differences, one left row at a time: no cancellation near zero."""
+#: Left rows multiplied at once, pairs whose differences are held at once.
+SLAB, PAIRS = 256, 1 << 15
+#: Parts of the squared norms: a distance below the first, or this near to a border by the second, is taken from differences.
+CANCELLED, DOUBTFUL = 1e-5, 1e-9
+
+
+def squared_distances(a: np.ndarray, b: np.ndarray, border: float | None = None) -> np.ndarray:
+    """Squared distances by matrix products; from differences where a product is not exact enough.
+
+    That is so for points that nearly agree, whose norms cancel out, for numbers that are not finite, and for distances about
+    ``border``, so that comparing with it gives what the differences give.
+    """
     out = np.empty((len(a), len(b)))
-    for i, row in enumerate(a):
-        diff = b - row
-        out[i] = np.einsum("ij,ij->i", diff, diff)
+    if not out.size:
+        return out
+    middle = b.mean(axis=0)
+    if not np.isfinite(middle).all():
+        middle = np.zeros(b.shape[1])
+    right = b - middle
+    right_norms = np.einsum("ij,ij->i", right, right)
+    for first in range(0, len(a), SLAB):
+        slab, own = out[first:first + SLAB], a[first:first + SLAB]
+        left = own - middle
+        left_norms = np.einsum("ij,ij->i", left, left)[:, None]
+        with np.errstate(invalid="ignore", over="ignore"):
+            np.matmul(-2 * left, right.T, out=slab)
+            slab += left_norms
+            slab += right_norms
+            largest = left_norms.max() + right_norms.max()
+            plain = slab.min() > CANCELLED * largest and np.isfinite(4 * largest)
+            if border is not None:
+                from_border = np.abs(slab - border)
+                plain = plain and from_border.min() > DOUBTFUL * largest
+            if plain:
+                continue
+            norms = left_norms + right_norms
+            unsure = ~(slab > CANCELLED * norms) | ~np.isfinite(4 * norms)
+            if border is not None:
+                unsure |= from_border <= DOUBTFUL * norms
+        row, column = np.nonzero(unsure)
+        for k in range(0, len(row), PAIRS):
+            i, j = row[k:k + PAIRS], column[k:k + PAIRS]
+            diff = b[j] - own[i]
+            slab[i, j] = np.einsum("ij,ij->i", diff, diff)
     return out

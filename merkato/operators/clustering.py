@@ -58,10 +58,12 @@ def _distance_sums(batches):
                 continue
             if own is None:
                 own = {name: np.concatenate([p[name] for p in parts]) for name in ("id", "v")}
-            distance = np.sqrt(B.squared_distances(own["v"], block["v"]))
-            for label in np.unique(block["label"]):
-                members = block["label"] == label
-                sums[label] = sums.get(label, 0.0) + distance[:, members] @ block["w"][members]
+            order = np.argsort(block["label"], kind="stable")
+            weight = block["w"][order]
+            labels, starts = np.unique(block["label"][order], return_index=True)
+            distance = np.sqrt(B.squared_distances(own["v"], block["v"][order]))
+            for label, first, last in zip(labels, starts, [*starts[1:], len(order)], strict=True):
+                sums[label] = sums.get(label, 0.0) + distance[:, first:last] @ weight[first:last]
             if len(sums) > HELD_LABELS:
                 yield from made()
                 sums = {}

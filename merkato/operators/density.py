@@ -30,7 +30,7 @@ def _pairs(points: DataFrame, eps: float, extra: list[str]) -> DataFrame:
 def _neighbour_sums(eps: float):
     def run(batches):
         for same, a, b in B.block_pairs(batches):
-            near = B.squared_distances(a["v"], b["v"]) <= eps * eps
+            near = B.squared_distances(a["v"], b["v"], eps * eps) <= eps * eps
             ids, sums = [a["id"]], [near @ b["w"]]
             if not same:
                 ids.append(b["id"])
@@ -82,9 +82,11 @@ def _edges(eps: float):
 
     def run(batches):
         for same, a, b in B.block_pairs(batches):
-            if not same:
-                a = {name: np.concatenate([a[name], b[name]]) for name in a}
-            near = B.squared_distances(a["v"], a["v"]) <= eps * eps
+            near = B.squared_distances(a["v"], b["v"], eps * eps) <= eps * eps
+            if not same:  # what lies within one block comes with that block's own pair
+                across, near = near, np.zeros((len(a["id"]) + len(b["id"]),) * 2, dtype=bool)
+                near[:len(across), len(across):], near[len(across):, :len(across)] = across, across.T
+                a = {name: np.concatenate([a[name], b[name]]) for name in ("id", "core")}
             core, ids = a["core"].astype(bool), a["id"]
             at = np.flatnonzero(core)
             child, root = forest(near[np.ix_(at, at)])

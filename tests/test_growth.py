@@ -1,11 +1,13 @@
 """Plans whose cost must grow with the rows: what the driver collects, and what tasks send each other."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from merkato import session
 from merkato.functions import ordering
-from merkato.operators import star
+from merkato.operators import blocks, density, star
 from merkato.operators.cube import MonthCube
 
 
@@ -68,3 +70,33 @@ def test_tasks_send_numbers_and_not_bitmaps(spark, folder):
     assert not any("bitmap_construct_agg" in line for line in lines[exchange:]), "\n".join(lines)
     assert bitmaps.select(F.sum(F.bitmap_count("bits"))).first()[0] == 4000
     assert bitmaps.count() == bitmaps.select("market", "bucket").distinct().count() == 25
+
+
+def test_distances_by_products_equal_those_by_differences():
+    rng = np.random.default_rng(7)
+    points = rng.normal(size=(300, 16))
+    points[200:250] = points[:50] + 1e-7  # nearly the same
+    points[250:260] = points[:10]
+    points[260:290] = points[:30] + np.eye(16)[0] * 0.75  # at the border, but for rounding
+    for shift in (0.0, 1e6):
+        a, b = points + shift, points[::-1] + shift
+        wanted = np.array([np.einsum("ij,ij->i", b - row, b - row) for row in a])
+        found = blocks.squared_distances(a, b, 0.75 ** 2)
+        assert ((found <= 0.75 ** 2) == (wanted <= 0.75 ** 2)).all()
+        assert (np.abs(found - wanted) <= 1e-9 * wanted).all()
+    points[3, 2], points[5, 1], points[9, 0] = np.nan, np.inf, 1e200
+    with np.errstate(all="ignore"):
+        wanted = np.array([np.einsum("ij,ij->i", points - row, points - row) for row in points])
+        found = blocks.squared_distances(points, points, 0.75 ** 2)
+    assert np.allclose(found, wanted, rtol=1e-9, atol=0, equal_nan=True)
+
+
+def test_pairs_of_blocks_leave_out_what_lies_within_one():
+    def side(prefix, ids, values):
+        return {f"{prefix}id": ids, f"{prefix}w": [1] * len(ids), f"{prefix}core": [True] * len(ids), f"{prefix}v": values}
+
+    pair = pd.DataFrame([{"same": False, **side("l_", [1, 2], [0.0, 0.1]), **side("r_", [3, 4], [9.0, 0.2])}])
+    edges = pd.concat(density._edges(0.5)([pair]))
+    assert set(edges["src"]) | set(edges["dst"]) == {1, 2, 4} and len(edges) == 2
+    apart = pd.DataFrame([{"same": False, **side("l_", [1, 2], [0.0, 0.1]), **side("r_", [3, 4], [9.0, 9.1])}])
+    assert pd.concat(density._edges(0.5)([apart])).empty
