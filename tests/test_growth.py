@@ -2,12 +2,13 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from merkato import session
 from merkato.functions import ordering
-from merkato.operators import blocks, density, star
+from merkato.operators import blocks, density, kmeans, loading, star
 from merkato.operators.cube import MonthCube
 
 
@@ -100,3 +101,45 @@ def test_pairs_of_blocks_leave_out_what_lies_within_one():
     assert set(edges["src"]) | set(edges["dst"]) == {1, 2, 4} and len(edges) == 2
     apart = pd.DataFrame([{"same": False, **side("l_", [1, 2], [0.0, 0.1]), **side("r_", [3, 4], [9.0, 9.1])}])
     assert pd.concat(density._edges(0.5)([apart])).empty
+
+
+@pytest.mark.parametrize("joined", [64, 0])
+def test_bridge_rows_are_found_with_one_exchange_of_the_lines(spark, folder, monkeypatch, joined):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(loading, "VERSIONS_JOINED", joined)
+
+    def versions(rows, natural, surrogate):
+        made = spark.createDataFrame(rows, f"{natural} long, {surrogate} long, a int, b int")
+        year = lambda c: F.concat(c.cast("string"), F.lit("-01-01")).cast("timestamp_ntz")
+        return folder(made.select(natural, surrogate, year(F.col("a")).alias("ValidFrom"), year(F.col("b")).alias("ValidTo")), natural)
+
+    products = versions([(1, 10, 1990, 1998), (1, 11, 1998, 9999), (2, 12, 1990, 9999), (3, 13, 1999, 9999)], "Product_ID", "ProductSuggorateKey")
+    offers = versions([(0, 20, 1990, 9999), (5, 21, 1990, 9999)], "SpecialOffer_ID", "SpecialOfferSuggorateKey")
+    bridge = folder(spark.createDataFrame([(100, 10, 20), (101, 11, 20), (102, 12, 21), (103, 12, 21)],
+                                          "BrdgProductSpecialOfferKey long, ProductSuggorateKey long, SpecialOfferSuggorateKey long"), "bridge")
+    wanted = {1: {100}, 2: {101}, 3: {102, 103}, 4: {None}, 5: {None}, 6: {None}, 7: {None}}
+    lines = folder(spark.createDataFrame(
+        [(1, 1, 0, 1995), (2, 1, 0, 1998), (3, 2, 5, 2000), (4, 3, 0, 1995), (5, 2, 0, 2000), (6, None, 0, 2000), (7, 1, None, 2000)],
+        "detail_id long, product_id long, offer_id long, y int").withColumn(
+        "order_date", F.concat(F.col("y").cast("string"), F.lit("-01-01")).cast("timestamp_ntz")), "lines")
+    found = loading.lookup_bridge(lines, bridge, products, offers)
+    got = {}
+    for row in found.collect():
+        got.setdefault(row.detail_id, set()).add(row.BrdgProductSpecialOfferKey)
+    assert got == wanted and found.count() == 8
+
+
+def test_blocks_of_vectors_hold_what_rows_held(monkeypatch):
+    monkeypatch.setattr(kmeans, "ROWS", 3)
+    rows = [{"at": [0, 4], "value": [1.5, -2.0]}, {"at": [], "value": []}, {"at": [2], "value": [7.0]}, {"at": [0], "value": [1.0]}]
+    column = pa.array(rows, pa.struct([("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float64()))]))
+    made = list(kmeans._blocks([pa.RecordBatch.from_arrays([column], names=["v"])]))
+    assert [b.column("rows")[0].as_py() for b in made] == [3, 1]
+    assert max(b.column("width")[0].as_py() for b in made) == 5 and max(b.column("largest")[0].as_py() for b in made) == 7.0
+    whole = kmeans.Vectors(column, 5)
+    stored = list(kmeans._stored(made, 5))
+    assert np.array_equal(np.concatenate([s.matrix(list(range(s.rows))) for s in stored]), whole.matrix([0, 1, 2, 3]))
+    assert [s.digest(r, 1) for s in stored for r in range(s.rows)] == [whole.digest(r, 1) for r in range(4)]
+    dense = pa.array([[1.0, 2.0], [3.0, 4.0]], pa.list_(pa.float64())).slice(1)
+    (own,) = kmeans._stored(kmeans._blocks([pa.RecordBatch.from_arrays([dense], names=["v"])]), 2)
+    assert own.dense.tolist() == [[3.0, 4.0]]
