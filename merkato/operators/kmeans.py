@@ -8,8 +8,9 @@ picks from it for every start.
 All starts run side by side: one pass over the rows for each round moves the centres of every start that still
 moves. The cheapest start then goes on until its centres are the exact means of their clusters.
 
-Vectors are ``array<double>``, or ``struct<at: array<int>, value: array<double>>`` where most positions are 0. Tasks
-return one sum for each centre and position.
+Vectors are ``array<double>``, or ``struct<at: array<int>, value: array<double>>`` where most positions are 0. They are
+written once in blocks of ``ROWS``, whose numbers every round reads as they are instead of turning each row into Arrow
+values again. Tasks return one sum for each centre and position.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from merkato.session import store
 SEED, STARTS, ROUNDS = 42, 10, 300
 #: Vectors in the reservoir, bits of the largest coordinate, rows whose distances are held at once.
 SAMPLE, BITS, ROWS = 1024, 36, 2048
+#: Numbers in a block, about.
+ENTRIES = 1 << 19
 #: Squared movement below which a start counts as settled while starts are compared.
 SETTLED = 1e-8
 
@@ -42,21 +45,65 @@ class Model:
     cost: float
 
 
+#: A block of vectors: how many, their numbers one after the other, and, where they are sparse, positions and each row's count of these.
+_BLOCK = "rows int, width int, largest double, value binary, at binary, sizes binary"
+
+
+def _blocks(batches):
+    """The vectors of Arrow batches in blocks."""
+    for batch in batches:
+        sparse = pa.types.is_struct(batch.column(0).type)
+        entries = len((batch.column(0).field("value") if sparse else batch.column(0)).flatten())
+        step = max(1, min(ROWS, ENTRIES * batch.num_rows // max(1, entries)))
+        for first in range(0, batch.num_rows, step):
+            part = batch.column(0).slice(first, step)
+            value = part.field("value") if sparse else part
+            sizes = value.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
+            numbers = value.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            at = part.field("at").flatten().to_numpy(zero_copy_only=False).astype(np.int32) if sparse else None
+            # Positions that nothing takes are not known; rows without any say nothing of the width.
+            width = (int(at.max()) + 1 if len(at) else None) if sparse else int(sizes.max(initial=0))
+            # NaN is larger than any number, as it is for Spark.
+            largest = float(np.abs(numbers).max(initial=0.0))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([len(part)], pa.int32()), pa.array([width], pa.int32()), pa.array([largest], pa.float64()),
+                pa.array([numbers.tobytes()], pa.binary()), pa.array([at.tobytes() if sparse else None], pa.binary()),
+                pa.array([sizes.tobytes() if sparse else None], pa.binary())], names=["rows", "width", "largest", "value", "at", "sizes"])
+
+
+def _stored(batches, width: int):
+    """The ``Vectors`` of stored blocks."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            value, at, sizes = (batch.column(name)[row] for name in ("value", "at", "sizes"))
+            positions, counts = (np.frombuffer(x.as_buffer(), np.int32) if x.is_valid else None for x in (at, sizes))
+            yield Vectors.of(width, batch.column("rows")[row].as_py(), np.frombuffer(value.as_buffer(), np.float64), positions, counts)
+
+
 class Vectors:
     """The vectors of one Arrow column as a matrix, or as positions and values of each row."""
 
     def __init__(self, column: pa.Array, width: int):
-        self.width, self.rows = width, len(column)
         sparse = pa.types.is_struct(column.type)
         values = column.field("value") if sparse else column
         sizes = values.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        self.value = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        self.dense = None
-        if not sparse:
-            self.dense = self.value.reshape(self.rows, width)
+        value = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        at = column.field("at").flatten().to_numpy(zero_copy_only=False) if sparse else None
+        self._set(width, len(column), value, at, sizes)
+
+    @classmethod
+    def of(cls, width: int, rows: int, value: np.ndarray, at: np.ndarray | None, sizes: np.ndarray | None) -> "Vectors":
+        made = cls.__new__(cls)
+        made._set(width, rows, value, at, sizes)
+        return made
+
+    def _set(self, width: int, rows: int, value: np.ndarray, at: np.ndarray | None, sizes: np.ndarray | None) -> None:
+        self.width, self.rows, self.value, self.dense = width, rows, value, None
+        if at is None:
+            self.dense = value.reshape(rows, width)
             return
-        self.at = column.field("at").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        self.ends = np.cumsum(sizes)
+        self.at = at.astype(np.int64)
+        self.ends = np.cumsum(sizes, dtype=np.int64)
         self.starts = self.ends - sizes
 
     def part(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,8 +159,7 @@ class Vectors:
 def _reservoir(vectors: DataFrame, width: int, seed: int, sample: int) -> np.ndarray:
     def run(batches):
         held: dict[bytes, np.ndarray] = {}
-        for batch in batches:
-            own = Vectors(batch.column(0), width)
+        for own in _stored(batches, width):
             found = {own.digest(r, seed): r for r in range(own.rows)}
             chosen = sorted(found.keys() - held.keys())[:sample]
             held.update(zip(chosen, own.matrix([found[d] for d in chosen])))
@@ -148,8 +194,7 @@ def _round(vectors: DataFrame, starts: list[np.ndarray], largest: float) -> list
         centres = shared.value
         sums = [np.zeros((len(c), width), np.int64) for c in centres]
         sizes, costs = [np.zeros(len(c), np.int64) for c in centres], [0] * len(centres)
-        for batch in batches:
-            own = Vectors(batch.column(0), width)
+        for own in _stored(batches, width):
             for first in range(0, own.rows, ROWS):
                 last = min(first + ROWS, own.rows)
                 for s, c in enumerate(centres):
@@ -195,11 +240,8 @@ def fit(df: DataFrame, vector: str, k: int, seed: int = SEED, starts: int = STAR
     """The cheapest of ``starts`` fits. Fewer than ``k`` clusters come back only where the reservoir has fewer vectors."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    vectors = store(df.where(F.col(vector).isNotNull()).select(_vectors(df, vector).alias("v")), "vectors")
-    sparse = isinstance(vectors.schema["v"].dataType, T.StructType)
-    value = F.col("v.value") if sparse else F.col("v")
-    width = F.array_max(F.col("v.at")) + 1 if sparse else F.size("v")
-    seen = vectors.agg(F.max(F.array_max(F.transform(value, F.abs))).alias("largest"), F.max(width).alias("width")).first()
+    vectors = store(df.where(F.col(vector).isNotNull()).select(_vectors(df, vector).alias("v")).mapInArrow(_blocks, _BLOCK), "vectors")
+    seen = vectors.agg(F.max("largest").alias("largest"), F.max("width").alias("width")).first()
     if seen.width is None:
         raise ValueError("no vectors to cluster")
     largest = float(seen.largest or 0.0)
