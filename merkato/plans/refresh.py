@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from merkato import schemas
 from merkato.operators import loading
 from merkato.operators.quality import VERSIONED
-from merkato.session import store
+from merkato.session import beside_facts, store
 from merkato.sources.batches import StagedTable
 from merkato.sources.dimensions import VersionedDimension
 from merkato.sources.tables import Warehouse
@@ -66,7 +66,8 @@ class StoredWarehouse(Warehouse):
         self.others["DimTime"].replace(batch, lambda known: loading.add_days(known, lines, "order_date"))
         keyed = store(loading.lookup_product_offer(lines, self.table("DimProduct"), self.table("DimSpecialOffer")), "keyed-lines")
         starts = self.table("DimProduct").select("ProductSuggorateKey", F.col("ValidFrom").alias("effective"))
-        pairs = keyed.select("ProductSuggorateKey", "SpecialOfferSuggorateKey").dropna().distinct().join(starts, "ProductSuggorateKey")
+        pairs = keyed.select("ProductSuggorateKey", "SpecialOfferSuggorateKey").dropna().distinct().join(
+            beside_facts(starts), "ProductSuggorateKey")
         self.others[BRIDGE].replace(
             batch, lambda known: loading.close_superseded(loading.build_bridge(pairs, known), self.table("DimProduct")))
         facts, rejects = loading.build_fact_sale(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merkato.session import store
+from merkato.session import beside_facts, store
 
 PREPARED, APPLIED = "prepared", "applied"
 
@@ -109,7 +109,7 @@ class StagedTable:
                 self.partition, *keys, "_row.*"), "fresh-rows")
             # One entry per partition, a month for instance.
             parts = sorted(r[0] for r in fresh.select(self.partition).distinct().collect())
-            kept = self.rows().where(F.col(self.partition).isin(parts)).join(fresh, [self.partition, *keys], "left_anti")
+            kept = self.rows().where(F.col(self.partition).isin(parts)).join(beside_facts(fresh), [self.partition, *keys], "left_anti")
             return kept.select(*self.stored.fieldNames()).unionByName(fresh), parts, last_key
 
         return self._once(batch, make)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merkato.operators.loading import changed_versions, dated_changes
-from merkato.session import store
+from merkato.session import beside_facts, store
 from merkato.sources.batches import StagedTable
 
 VALIDITY = ["ValidFrom", "ValidTo", "IsActive"]
@@ -48,7 +48,7 @@ class VersionedDimension(StagedTable):
     def _changed(self, incoming: DataFrame, effective: str, last_key: int) -> tuple[DataFrame, list[int], int]:
         changes = dated_changes(incoming, self.natural_key, self.tracked, effective)
         first = changes.agg(F.min("ValidFrom")).first()[0]
-        keys = changes.select(*self.natural_key).distinct()
+        keys = beside_facts(changes.select(*self.natural_key).distinct(), changes)
         reached = F.col(PARTITION) == 0
         if first is not None:
             reached = reached | (F.col(PARTITION) >= first.year * 100 + first.month)
@@ -61,7 +61,7 @@ class VersionedDimension(StagedTable):
         # Partitions in which a version is new, ends elsewhere or holds other values. One entry per month.
         columns = self.stored.fieldNames()
         was = own.select(F.col(self.surrogate_key).alias("_key"), F.col(PARTITION).alias("_month"), F.struct(*columns).alias("_was"))
-        moved = after.join(was, F.col(self.surrogate_key) == F.col("_key"), "left").where(
+        moved = after.join(beside_facts(was, own), F.col(self.surrogate_key) == F.col("_key"), "left").where(
             ~F.struct(*columns).eqNullSafe(F.col("_was")))
         months = sorted(r[0] for r in moved.select(F.explode(F.array_compact(F.array(PARTITION, "_month")))).distinct().collect())
 

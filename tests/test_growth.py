@@ -10,6 +10,7 @@ from merkato import session
 from merkato.functions import ordering
 from merkato.operators import blocks, density, kmeans, loading, star
 from merkato.operators.cube import MonthCube
+from merkato.sources import batches, dimensions
 
 
 def plan(df):
@@ -52,6 +53,28 @@ def test_products_orphans_and_versions_with_many_keys_are_merged(spark, folder,
     assert found.where("sk = BrdgProductSpecialOfferKey + 100").count() == 50 and found.where("sk IS NULL").count() == 10
 
 
+def test_keys_of_a_batch_are_merged(spark, folder, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    at = "timestamp_ntz'{}-01-01 00:00:00'"
+    rows = spark.range(50).select("id", F.lit("a").alias("name"), F.expr(at.format(1990)).alias("effective"))
+    first = folder(loading.scd2_merge(None, rows, ["id"], ["name"], "sk"), "first")
+    changes = rows.where("id >= 25").select("id", F.lit("b").alias("name"), F.expr(at.format(2000)).alias("effective"))
+    merged = loading.scd2_merge(first, changes, ["id"], ["name"], "sk")
+    assert "BroadcastHashJoin [id" not in plan(merged)
+    assert merged.count() == 75 and merged.where("IsActive AND name = 'b'").count() == 25
+    fixed = loading.scd0_load(folder(rows.where("id < 40").withColumn("sk", F.col("id") + 1), "fixed"), rows, ["id"], "sk")
+    assert "BroadcastHashJoin [id" not in plan(fixed) and fixed.agg(F.max("sk")).first()[0] == fixed.count() == 50
+    joins = []
+    monkeypatch.setattr(batches, "store", lambda df, label: joins.append(plan(df)) or session.store(df, label))
+    monkeypatch.setattr(dimensions, "store", lambda df, label: joins.append(plan(df)) or session.store(df, label))
+    stored = dimensions.VersionedDimension(spark, str(tmp_path / "stored"), spark.createDataFrame(
+        [], "sk long, id long, name string, ValidFrom timestamp_ntz, ValidTo timestamp_ntz, IsActive boolean").schema, ["id"], "sk")
+    stored.apply(1, rows)
+    stored.apply(2, changes)
+    assert joins and not [p for p in joins if "BroadcastHashJoin [id" in p]
+    assert stored.rows().count() == 75
+
+
 def test_group_starts_are_merged(spark, folder, monkeypatch):
     monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
     rows = folder(spark.range(300).select((F.col("id") % 40).alias("g"), F.col("id").alias("v")), "rows")
