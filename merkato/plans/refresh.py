@@ -63,6 +63,8 @@ class StoredWarehouse(Warehouse):
         self.parts.clear()
 
     def _apply_lines(self, batch: int, lines: DataFrame) -> None:
+        if all(table.has(batch) for table in (self.others["DimTime"], self.others[BRIDGE], self.others["FactSale"], self.rejects)):
+            return  # a repetition looks nothing up
         self.others["DimTime"].replace(batch, lambda known: loading.add_days(known, lines, "order_date"))
         keyed = store(loading.lookup_product_offer(lines, self.table("DimProduct"), self.table("DimSpecialOffer")), "keyed-lines")
         starts = self.table("DimProduct").select("ProductSuggorateKey", F.col("ValidFrom").alias("effective"))
@@ -71,7 +73,8 @@ class StoredWarehouse(Warehouse):
         self.others[BRIDGE].replace(
             batch, lambda known: loading.close_superseded(loading.build_bridge(pairs, known), self.table("DimProduct")))
         facts, rejects = loading.build_fact_sale(
-            keyed, self.table(BRIDGE), self.table("DimCustomer"), self.table("DimTerritory"), self.table("DimTime"))
+            keyed, self.table(BRIDGE), self.table("DimCustomer"), self.table("DimTerritory"), self.table("DimTime"),
+            written=True)
         month = (F.col("DimTimeKey") / 100).cast("int")
         self.others["FactSale"].upsert(batch, facts.withColumn("SaleMonth", month), SALE_KEYS)
         self.rejects.upsert(batch, rejects.withColumn("Batch", F.lit(batch).cast("int")), ["order_id", "detail_id"])

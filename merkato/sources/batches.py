@@ -42,6 +42,10 @@ class StagedTable:
         """``(batch, state, last_key, parts)``: what was done with each batch, and the partitions it replaced (NULL: the table)."""
         return self._read(f"{self.path}.log", _LOG)
 
+    def has(self, batch: int) -> bool:
+        """Whether the batch was applied."""
+        return not self.log().where((F.col("batch") == batch) & (F.col("state") == APPLIED)).isEmpty()
+
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(path)

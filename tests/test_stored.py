@@ -11,6 +11,8 @@ from merkato.functions import ordering
 from merkato.operators import loading, series, star
 from merkato.operators.cube import MonthCube
 from merkato.session import new_path
+from merkato.plans.refresh import StoredWarehouse
+from merkato.sources.batches import StagedTable
 from merkato.sources.dimensions import VersionedDimension
 from merkato.sources.tables import Warehouse
 from merkato.sources.tpch import TpchWarehouse
@@ -213,3 +215,41 @@ def test_derived_tables_follow_the_files(spark, small):
     product = source.table("DimProduct").limit(1)
     product.write.mode("overwrite").parquet(other.path("DimProduct"))  # by someone else
     assert star.offered_products(first).count() < every
+
+
+def sales_inputs(spark):
+    at = dt.datetime(1990, 1, 1)
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    dated = "effective timestamp_ntz"
+    return dict(
+        products=frame([(p, f"p{p}", "s", "m", "l", "c", "t", at) for p in (1, 2)], "Product_ID long, ProductName string, "
+                       f"Subcategory string, Model string, ProductLine string, Class string, Style string, {dated}"),
+        offers=frame([(0, None, "none", "x", at)], f"SpecialOffer_ID long, DiscountPct decimal(5,2), Type string, Category string, {dated}"),
+        customers=frame([(7, "F", None, "Low", "Gold", at)], "Customer_ID long, Gender string, LifeTimeValue decimal(18,2), "
+                        f"LtvTier string, LoyaltyStatus string, {dated}"),
+        territories=frame([(3, "PERU")], "Territory_ID long, CountryRegion string"),
+        lines=frame([(o, o, dt.datetime(1995, 1, 1 + o), c, 3, p, 0, None, 5) for o, c, p in
+                     ((1, 7, 1), (2, 7, 2), (3, 8, 1), (4, 7, 9), (5, None, None))],
+                    "order_id long, detail_id long, order_date timestamp_ntz, customer_id long, territory_id long, product_id long, "
+                    "offer_id long, line_total decimal(18,2), order_qty long"))
+
+
+def test_lines_of_a_batch_are_looked_up_once(spark, monkeypatch):
+    stored, inputs, joins, looked = StoredWarehouse(spark, new_path(spark, "grown")), sales_inputs(spark), [], []
+    upsert, lookup = StagedTable.upsert, loading.lookup_product_offer
+
+    def seen(table, number, found, keys):
+        joins.append(found._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return upsert(table, number, found, keys)
+
+    monkeypatch.setattr(StagedTable, "upsert", seen)
+    monkeypatch.setattr(loading, "lookup_product_offer", lambda *found: looked.append(1) or lookup(*found))
+    stored.apply(1, **inputs)
+    kept = [sorted(map(str, stored.table("FactSale").collect())), sorted(map(str, stored.rejects.rows().collect()))]
+    assert sorted(r.SalesOrderID for r in stored.table("FactSale").collect()) == [1, 2]
+    assert {r.order_id: (r.no_bridge, r.no_territory, r.no_day, r.no_customer) for r in stored.rejects.rows().collect()} == {
+        3: (False, False, False, True), 4: (True, False, False, False), 5: (True, False, False, True)}
+    assert joins == [0, 0]  # facts and rejects are both read from the lines with their keys
+    stored.apply(1, **inputs)
+    assert len(looked) == 1 and len(joins) == 2
+    assert kept == [sorted(map(str, stored.table("FactSale").collect())), sorted(map(str, stored.rejects.rows().collect()))]
