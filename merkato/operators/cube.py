@@ -4,7 +4,7 @@ Sums can be added up over months, distinct counts cannot. The cube therefore kee
 set of orders, customers, subcategories and product lines as bitmaps of 32,768 numbers each. Bitmaps of several months
 are combined with a bitwise or, so any span of months has an exact count without another look at the facts.
 
-Values are numbered once, in order of the month and market in which they first occur. The orders of a month and market
+Values are numbered once, in order of the month in which they first occur, market by market. The orders of a month and market
 then have consecutive numbers and fill few bitmaps, whatever their ids look like. A value keeps its number.
 
 ``refresh`` computes only months that the cube lacks, or those it is told to compute again. It reads the facts of these
@@ -99,9 +99,8 @@ class MonthCube:
             F.count("Revenue").alias("lines"))
         values = store(union_all([self._values(rows, cell, kind) for kind in KINDS]), "month-values")
         self._number(values)
-        same = (F.col("v.kind") == F.col("n.kind")) & F.col("v.id").eqNullSafe(F.col("n.id")) & F.col("v.name").eqNullSafe(F.col("n.name"))
-        placed = values.alias("v").join(beside_facts(self.numbers()).alias("n"), same).select("v.*", "n.number")
-        sets = self._bitmaps(placed, cell)
+        columns = {kind: "name" if dict(rows.dtypes)[column] == "string" else "id" for kind, column in KINDS.items()}
+        sets = self._bitmaps(self._placed(values, self.numbers(), columns), cell)
         # The sums come last: a month is in the cube once it is there, so a refresh that failed is simply repeated.
         for name, part, schema in (("sets", sets, _SETS), ("sums", sums, _SUMS)):
             typed = self.wh.spark.createDataFrame([], schema).schema
@@ -114,6 +113,15 @@ class MonthCube:
                 "partitionOverwriteMode", "dynamic").partitionBy("SaleYear").parquet(f"{self.path}/{name}")
         return sorted(months)
 
+    @staticmethod
+    def _placed(values: DataFrame, numbers: DataFrame, columns: dict[str, str]) -> DataFrame:
+        """Values with their numbers, each kind by the one column that holds its values: a single key is sorted fastest."""
+        parts = []
+        for kind, column in columns.items():
+            known = numbers.where(F.col("kind") == kind).select(column, "number")
+            parts.append(values.where(F.col("kind") == kind).join(beside_facts(known), column).select(*values.columns, "number"))
+        return union_all(parts)
+
     @staticmethod
     def _bitmaps(placed: DataFrame, cell: list[str]) -> DataFrame:
         """One bitmap per cell, kind and 32,768 numbers.
@@ -132,11 +140,20 @@ class MonthCube:
             *cell, F.lit(kind).alias("kind"), F.lit(None).cast("long").alias("id") if text else F.col(column).alias("id"),
             F.col(column).alias("name") if text else F.lit(None).cast("string").alias("name")).distinct()
 
+    @staticmethod
+    def _first_seen(values: DataFrame) -> DataFrame:
+        """``(kind, id, name, first)`` per value; ``first`` orders by month, then keeps a market's values together.
+
+        Month and market's checksum make one number, as the least of numbers is found by hashing and that of structs by sorting.
+        """
+        first = F.col("SaleMonth").cast("long") * (1 << 32) + F.coalesce(F.crc32(F.col("market").cast("binary")), F.lit(0))
+        return values.groupBy("kind", "id", "name").agg(F.min(first).alias("first"))
+
     def _number(self, values: DataFrame) -> None:
         """Give numbers to values that have none yet."""
         known = self.numbers()
         last = known.agg(F.max("number")).first()[0] or 0
-        new = values.groupBy("kind", "id", "name").agg(F.min(F.struct("SaleMonth", "market")).alias("first"))
+        new = self._first_seen(values)
         if last:
             new = new.alias("v").join(beside_facts(known).alias("n"), (F.col("v.kind") == F.col("n.kind")) & F.col("v.id").eqNullSafe(F.col("n.id"))
                                       & F.col("v.name").eqNullSafe(F.col("n.name")), "left_anti")

@@ -96,6 +96,23 @@ def test_tasks_send_numbers_and_not_bitmaps(spark, folder):
     assert bitmaps.count() == bitmaps.select("market", "bucket").distinct().count() == 25
 
 
+def test_values_are_numbered_by_hashing_and_looked_up_by_one_key(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    rows = [("ordercount", i, None, 199800 + i % 3 + m, market) for i in range(30) for m in (1, 2) for market in ("a", None)]
+    rows += [("uniquesubcategories", None, name, 199805, "b") for name in ("x", "", "30")]
+    values = folder(spark.createDataFrame(rows, "kind string, id long, name string, SaleMonth int, market string"), "values")
+    seen = MonthCube._first_seen(values)
+    assert "SortAggregate" not in plan(seen)
+    assert {(r.kind, r.id, r.name): r.first >> 32 for r in seen.collect()} == {
+        **{("ordercount", i, None): 199801 + i % 3 for i in range(30)},
+        **{("uniquesubcategories", None, name): 199805 for name in ("x", "", "30")}}
+    numbers = folder(seen.select("kind", "id", "name", F.xxhash64("kind", "id", "name").alias("number")), "numbers")
+    placed = MonthCube._placed(values, numbers, {"ordercount": "id", "uniquesubcategories": "name"})
+    joins = [line for line in plan(placed).split("\n") if "Join" in line]
+    assert len(joins) == 2 and all("SortMergeJoin [" in line and line.count(", ") == 2 for line in joins), joins
+    assert placed.count() == len(rows) and placed.where("number <> xxhash64(kind, id, name)").count() == 0
+
+
 def test_distances_by_products_equal_those_by_differences():
     rng = np.random.default_rng(7)
     points = rng.normal(size=(300, 16))
