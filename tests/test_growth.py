@@ -183,3 +183,59 @@ def test_blocks_of_vectors_hold_what_rows_held(monkeypatch):
     dense = pa.array([[1.0, 2.0], [3.0, 4.0]], pa.list_(pa.float64())).slice(1)
     (own,) = kmeans._stored(kmeans._blocks([pa.RecordBatch.from_arrays([dense], names=["v"])]), 2)
     assert own.dense.tolist() == [[3.0, 4.0]]
+
+
+def _sparse_rows(rng, rows, width, entries):
+    return [(np.sort(rng.choice(width, n, replace=False)).tolist(), rng.normal(size=n).tolist()) for n in entries[:rows]]
+
+
+def test_blocks_of_vectors_stay_small_where_readers_hold_thousands():
+    rng = np.random.default_rng(3)
+    wide = _sparse_rows(rng, 3000, 200, [14 - i % 3 for i in range(3000)])
+    sparse = pa.array([{"at": a, "value": v} for a, v in wide], pa.struct([("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float64()))]))
+    narrow = pa.array(rng.normal(size=(3000, 4)).tolist(), pa.list_(pa.float64()))
+    for column, width in ((sparse, 200), (narrow, 4)):
+        made = list(kmeans._blocks([pa.RecordBatch.from_arrays([column], names=["v"])]))
+        taken = [sum(len(x or b"") for x in row) for b in made for row in zip(*(b.column(c).to_pylist() for c in ("value", "at", "sizes")))]
+        assert max(taken) <= 2 * kmeans.BYTES and 4096 * max(taken) <= 32 << 20 and sum(sum(b.column("rows").to_pylist()) for b in made) == 3000
+        # Cut and joined otherwise, as a reader does: the same vectors.
+        again = pa.Table.from_batches(made).combine_chunks().to_batches()[0]
+        whole, stored = kmeans.Vectors(column, width), list(kmeans._stored([again.slice(0, 7), again.slice(7)], width))
+        assert max(s.rows for s in stored) <= kmeans.ROWS
+        assert np.array_equal(np.concatenate([s.matrix(list(range(s.rows))) for s in stored]), whole.matrix(list(range(3000))))
+        assert [d for s in stored for d in s.digests(5)] == whole.digests(5)
+
+
+def test_distances_of_long_and_short_rows():
+    rng = np.random.default_rng(4)
+    rows = _sparse_rows(rng, 400, 900, [0 if i % 50 == 0 else 800 if i == 333 else 3 + i % 4 for i in range(400)])
+    column = pa.array([{"at": a, "value": v} for a, v in rows], pa.struct([("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float64()))]))
+    starts = [rng.normal(size=(n, 900)) for n in (3, 1)]
+    own = kmeans.Vectors(column, 900)
+    dense = own.matrix(list(range(400)))
+    expected = ((dense[:, None] - np.concatenate(starts)[None]) ** 2).sum(-1)
+    assert own.distances(kmeans.Held(starts), 0, 400) == pytest.approx(expected, rel=1e-9)
+    sums = [np.zeros((len(c), 900), np.int64) for c in starts]
+    labels = [rng.integers(0, 3, 200), np.zeros(200, np.int64)]
+    own.add(sums, labels, 100, 300, 1000.0)
+    whole = np.rint(dense[100:300] * 1000)
+    assert all(np.array_equal(total[k], whole[label == k].sum(axis=0)) for total, label in zip(sums, labels) for k in range(len(total)))
+
+
+def test_starts_of_wide_vectors_run_in_groups(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # Two positions are common, and each row has one of its own out of a million.
+    rows = [([0, 1, 1000 * (i + 1)], [float(rng.normal() + 60 * (i % 3)), float(rng.normal()), 1.0]) for i in range(90)]
+    df = spark.createDataFrame([(r,) for r in rows], "v struct<at:array<int>,value:array<double>>")
+    vectors = df.mapInArrow(kmeans._blocks, kmeans._BLOCK)
+    used, points = kmeans._reservoir(vectors, 90_001, 1, 20)
+    assert points.shape == (20, len(used)) and len(used) == 22 and used.max() <= 90_000
+    seen, real = [], kmeans._round
+    monkeypatch.setattr(kmeans, "_round", lambda vectors, starts, largest: seen.append(len(starts)) or real(vectors, starts, largest))
+    together = kmeans.fit(df, "v", 3, starts=3)
+    assert max(seen) == 3
+    seen.clear()
+    monkeypatch.setattr(kmeans, "HELD", 1)
+    apart = kmeans.fit(df, "v", 3, starts=3)
+    assert max(seen) == 1 and together.centres.shape == (3, 90_001)
+    assert (apart.centres == together.centres).all() and apart.sizes == together.sizes and apart.cost == together.cost
